@@ -1,0 +1 @@
+"""Empty on purpose: every job of the loader is a batch job."""
