@@ -1,56 +1,74 @@
 """Schema profile, and merge-if-absent registration of labels and properties.
 
-The frames here have one row per column, label or property: schema, not data.
+The registry has one row per label or property name: schema, not data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.errors import NotRegisteredError, TypeConflictError, UnsupportedTypeError
-from weftgraph.functions.types import property_fields, property_type, unsupported_fields
+from weftgraph.functions.types import column, property_fields, property_type, unsupported_fields
 from weftgraph.sources.store import GraphStore
 
 
-def schema_profile(spark: SparkSession, schema: T.StructType) -> DataFrame:
+class PropertyStatus(NamedTuple):
+    """``created`` (new name), ``exists`` (same type) or ``conflict`` (other type)."""
+
+    name: str
+    offered_type: str
+    registered_type: str | None
+    status: str
+
+
+class KeyPair(NamedTuple):
+    """``ok``, ``mismatch`` or ``missing`` (one of the keys is not registered)."""
+
+    edge_key: str
+    vertex_key: str
+    edge_type: str | None
+    vertex_type: str | None
+    status: str
+
+
+def value_counts(df: DataFrame) -> DataFrame:
+    """(name, n_values): non-null values of each column, in one pass."""
+    names = [f.name for f in df.schema.fields]
+    counted = df.agg(*[F.count(column(n)).alias(n) for n in names])
+    return counted.unpivot([], names, "name", "n_values")
+
+
+def schema_profile(df: DataFrame) -> DataFrame:
     """One row per source column; ``property_type`` is null if unsupported."""
     rows = [
         (i, f.name, f.dataType.simpleString(), property_type(f.dataType))
-        for i, f in enumerate(schema.fields, 1)
+        for i, f in enumerate(df.schema.fields, 1)
     ]
-    return spark.createDataFrame(
-        rows, "position int, column_name string, source_type string, property_type string"
-    )
-
+    schema = "position int, name string, source_type string, property_type string"
+    return df.sparkSession.createDataFrame(rows, schema).join(value_counts(df), "name")
 
-def property_statuses(store: GraphStore, schema: T.StructType) -> DataFrame:
-    """(name, offered_type, registered_type, status) of a schema's properties.
 
-    Status is ``created`` for a new name, ``exists`` for a known one of the same
-    type and ``conflict`` for a known one of another type.
-    """
-    offered = schema_profile(store.spark, schema).where("property_type IS NOT NULL")
-    known = store.registry("properties").select(
-        F.col("name").alias("column_name"), F.col("property_type").alias("registered_type")
-    )
-    status = (
-        F.when(F.col("registered_type").isNull(), "created")
-        .when(F.col("registered_type") == F.col("property_type"), "exists")
-        .otherwise("conflict")
-    )
-    return offered.join(known, "column_name", "left").select(
-        F.col("column_name").alias("name"),
-        F.col("property_type").alias("offered_type"),
-        "registered_type",
-        status.alias("status"),
-    )
+def property_statuses(store: GraphStore, schema: T.StructType) -> list[PropertyStatus]:
+    """How each supported column stands to the registry."""
+    known = store.property_types()
+    statuses = []
+    for field in property_fields(schema):
+        offered, registered = property_type(field.dataType), known.get(field.name)
+        if registered is None:
+            status = "created"
+        else:
+            status = "exists" if registered == offered else "conflict"
+        statuses.append(PropertyStatus(field.name, offered, registered, status))
+    return statuses
 
 
 def register_properties(
     store: GraphStore, schema: T.StructType, on_unsupported: str = "skip"
-) -> DataFrame:
+) -> list[PropertyStatus]:
     """Registers the new names; a conflicting name keeps its first type.
 
     Returns the statuses as they were before the registration.
@@ -61,12 +79,11 @@ def register_properties(
     if bad and on_unsupported == "error":
         raise UnsupportedTypeError(f"columns that cannot be properties: {bad}")
     statuses = property_statuses(store, schema)
-    rows = statuses.collect()
     store.add_to_registry(
         "properties",
-        [(r["name"], r["offered_type"], "SINGLE") for r in rows if r["status"] == "created"],
+        [(s.name, s.offered_type, "SINGLE") for s in statuses if s.status == "created"],
     )
-    return store.spark.createDataFrame(rows, statuses.schema)
+    return statuses
 
 
 def register_labels(store: GraphStore, kind: str, labels: DataFrame) -> None:
@@ -77,50 +94,52 @@ def register_labels(store: GraphStore, kind: str, labels: DataFrame) -> None:
 
 
 def register_label(store: GraphStore, kind: str, label: str) -> None:
-    if not store.has_label(kind, label):
+    if label not in store.labels(kind):
         store.add_to_registry("labels", [(kind, label)])
 
 
 def require_registered(store: GraphStore, kind: str, label: str, schema: T.StructType) -> None:
     """A load needs its label and properties registered, with these types."""
-    if not store.has_label(kind, label):
-        raise NotRegisteredError(f"{kind} label {label!r} is not registered")
-    known = store.property_types()
-    fields = property_fields(schema)
-    missing = [f.name for f in fields if f.name not in known]
+    require_labels(store, kind, label)
+    statuses = property_statuses(store, schema)
+    missing = [s.name for s in statuses if s.status == "created"]
     if missing:
         raise NotRegisteredError(f"properties not registered: {missing}")
-    conflicts = {
-        f.name: (property_type(f.dataType), known[f.name])
-        for f in fields
-        if property_type(f.dataType) != known[f.name]
-    }
+    conflicts = [s for s in statuses if s.status == "conflict"]
     if conflicts:
-        raise TypeConflictError(f"(offered, registered) types differ: {conflicts}")
+        raise TypeConflictError(f"types differ from the registered ones: {conflicts}")
 
 
-def key_pair_check(store: GraphStore, pairs: list[tuple[str, str]]) -> DataFrame:
+def key_pairs(store: GraphStore, pairs: list[tuple[str, str]]) -> list[KeyPair]:
     """Are both keys of each (edge key, vertex key) registered with one type?"""
-    wanted = store.spark.createDataFrame(pairs, "edge_key string, vertex_key string")
-    known = store.registry("properties")
-    edge = known.select(F.col("name").alias("edge_key"), F.col("property_type").alias("edge_type"))
-    vertex = known.select(
-        F.col("name").alias("vertex_key"), F.col("property_type").alias("vertex_type")
-    )
-    status = (
-        F.when(F.col("edge_type").isNull() | F.col("vertex_type").isNull(), "missing")
-        .when(F.col("edge_type") == F.col("vertex_type"), "ok")
-        .otherwise("mismatch")
-    )
-    return (
-        wanted.join(edge, "edge_key", "left")
-        .join(vertex, "vertex_key", "left")
-        .select("edge_key", "vertex_key", "edge_type", "vertex_type", status.alias("status"))
-    )
+    known = store.property_types()
+    checked = []
+    for edge_key, vertex_key in pairs:
+        types = known.get(edge_key), known.get(vertex_key)
+        if None in types:
+            status = "missing"
+        else:
+            status = "ok" if types[0] == types[1] else "mismatch"
+        checked.append(KeyPair(edge_key, vertex_key, *types, status))
+    return checked
+
+
+def require_key_pairs(store: GraphStore, pairs: list[tuple[str, str]]) -> None:
+    checked = key_pairs(store, pairs)
+    missing = [p for p in checked if p.status == "missing"]
+    if missing:
+        raise NotRegisteredError(f"keys not registered: {missing}")
+    mismatched = [p for p in checked if p.status == "mismatch"]
+    if mismatched:
+        raise TypeConflictError(f"key types differ: {mismatched}")
 
 
-def missing_labels(store: GraphStore, kind: str, labels: list[str]) -> DataFrame:
+def missing_labels(store: GraphStore, kind: str, labels: list[str]) -> list[str]:
     """Those of the labels that the kind does not have."""
-    wanted = store.spark.createDataFrame([(x,) for x in labels], "label string").distinct()
-    known = store.registry("labels").where(F.col("kind") == kind)
-    return wanted.join(known, "label", "left_anti")
+    return sorted(set(labels) - store.labels(kind))
+
+
+def require_labels(store: GraphStore, kind: str, *labels: str) -> None:
+    missing = missing_labels(store, kind, list(labels))
+    if missing:
+        raise NotRegisteredError(f"{kind} labels not registered: {missing}")

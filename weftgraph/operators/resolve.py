@@ -133,7 +133,7 @@ def mark_dangling(ids: DataFrame, store: GraphStore) -> DataFrame:
 def endpoint_table(
     store: GraphStore, keys: DataFrame, pk_map: DataFrame, fallback: Fallback, work: str
 ) -> DataFrame:
-    """(key, n_edges, vid, via) for each distinct key, as a staged table.
+    """(key, n_edges, vid, via) for each distinct key, read from staged tables.
 
     ``via`` is ``map``, ``search``, ``dangling`` (the map names an id that no
     vertex has) or ``missing``; ``vid`` is null for the last two.  A key in the
@@ -146,16 +146,18 @@ def endpoint_table(
         F.when(~F.col("dangling"), F.col("vid")).alias("vid"),
         F.when(F.col("dangling"), "dangling").otherwise("map").alias("via"),
     )
+    if any(not r["dense"] for r in store.loads("vertex")):
+        in_map = stage(in_map, f"{work}/in_map")
     missed = looked_up.where(F.col("vid").isNull()).select("key", "n_edges")
     if missed.isEmpty():
-        return stage(in_map, f"{work}/endpoints")
+        return in_map
     found = fallback(missed.select("key"))
     if found is None:
         searched = missed.withColumn("vid", F.lit(None).cast("bigint"))
     else:
         searched = missed.join(found, "key", "left")
     via = F.when(F.col("vid").isNotNull(), "search").otherwise("missing")
-    return stage(in_map.unionByName(searched.withColumn("via", via)), f"{work}/endpoints")
+    return in_map.unionByName(stage(searched.withColumn("via", via), f"{work}/searched"))
 
 
 def join_endpoints(

@@ -15,18 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.errors import NotRegisteredError, TypeConflictError, UnresolvedEndpointError
-from weftgraph.functions.types import (
-    column,
-    supported_projection,
-)
+from weftgraph.errors import NotRegisteredError, UnresolvedEndpointError
+from weftgraph.functions.types import column, supported_projection
 from weftgraph.operators.ids import check_intervals, dense_ids, sparse_ids
 from weftgraph.operators.index import define_index, write_postings
 from weftgraph.operators.registry import (
-    key_pair_check,
-    missing_labels,
+    PropertyStatus,
     register_label,
     register_properties,
+    require_key_pairs,
+    require_labels,
     require_registered,
 )
 from weftgraph.operators.resolve import (
@@ -77,7 +75,7 @@ def init_vertex(
     *,
     fmt: str = "orc",
     on_unsupported: str = "skip",
-) -> DataFrame:
+) -> list[PropertyStatus]:
     """Registers a vertex label, its properties and, if asked for, its index.
 
     Only the source's schema is read, except that a new index is filled from
@@ -99,7 +97,7 @@ def init_edge(
     *,
     fmt: str = "orc",
     on_unsupported: str = "skip",
-) -> DataFrame:
+) -> list[PropertyStatus]:
     """Registers an edge label and its properties; returns their statuses."""
     schema = _source_schema(store, source, fmt)
     register_label(store, "edge", label)
@@ -107,6 +105,7 @@ def init_edge(
 
 
 def _source_schema(store: GraphStore, source: Source, fmt: str) -> T.StructType:
+    store.refresh()
     df = scan(store.spark, source, fmt)
     reject_reserved(df)
     return df.schema
@@ -114,6 +113,7 @@ def _source_schema(store: GraphStore, source: Source, fmt: str) -> T.StructType:
 
 def reindex(store: GraphStore, label: str) -> None:
     """Builds the label's index anew from all its vertices."""
+    store.refresh()
     index = store.index_name(label)
     if not store.index_properties(index):
         raise NotRegisteredError(f"no index {index!r}")
@@ -165,6 +165,7 @@ def load_vertices(
     if ids not in ("dense", "sparse"):
         raise ValueError("ids must be 'dense' or 'sparse'")
     spark = store.spark
+    store.refresh()
     raw = scan(spark, source, fmt)
     reject_reserved(raw)
     require_columns(raw, primary_key_column)
@@ -227,13 +228,12 @@ def load_edges(
     if on_missing not in ("error", "quarantine"):
         raise ValueError("on_missing must be 'error' or 'quarantine'")
     spark = store.spark
+    store.refresh()
     raw = scan(spark, source, fmt)
     reject_reserved(raw)
     require_columns(raw, edge_key_a, edge_key_b)
-    _check_pairs(store, [(edge_key_a, vertex_key_a), (edge_key_b, vertex_key_b)])
-    absent = [r["label"] for r in missing_labels(store, "vertex", [vertex_label_a, vertex_label_b]).collect()]
-    if absent:
-        raise NotRegisteredError(f"vertex labels not registered: {absent}")
+    require_key_pairs(store, [(edge_key_a, vertex_key_a), (edge_key_b, vertex_key_b)])
+    require_labels(store, "vertex", vertex_label_a, vertex_label_b)
     require_registered(store, "edge", label, raw.schema)
 
     rows = edges_with_keys(supported_projection(raw), edge_key_a, edge_key_b)
@@ -281,16 +281,6 @@ def load_edges(
     )
 
 
-def _check_pairs(store: GraphStore, pairs: list[tuple[str, str]]) -> None:
-    for r in key_pair_check(store, pairs).collect():
-        if r["status"] == "missing":
-            raise NotRegisteredError(f"keys not registered: {r['edge_key']}, {r['vertex_key']}")
-        if r["status"] == "mismatch":
-            raise TypeConflictError(
-                f"{r['edge_key']} is {r['edge_type']} but {r['vertex_key']} is {r['vertex_type']}"
-            )
-
-
 def _lost(ends: DataFrame) -> int:
     return ends.where(F.col("vid").isNull()).count()
 

@@ -20,9 +20,11 @@ from __future__ import annotations
 import json
 from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from weftgraph.sources.shared import exists
 
@@ -53,6 +55,7 @@ class GraphStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.name = name
+        self._rows: dict[str, list[Row]] = {}
 
     # -- registry: one small row per label, property, index or load ----------
 
@@ -62,21 +65,34 @@ class GraphStore:
             return self.spark.createDataFrame([], REGISTRY[table])
         return self.spark.read.schema(REGISTRY[table]).orc(path)
 
+    def rows(self, table: str) -> list[Row]:
+        """The table as read since the last refresh; schema, never data."""
+        if table not in self._rows:
+            known = exists(self.spark, f"{self.root}/registry/{table}")
+            self._rows[table] = self.registry(table).collect() if known else []
+        return self._rows[table]
+
+    def refresh(self) -> None:
+        """Forget what was read; each job starts with this."""
+        self._rows.clear()
+
     def add_to_registry(self, table: str, rows: list[tuple]) -> None:
         if rows:
-            frame = self.spark.createDataFrame(rows, REGISTRY[table])
-            frame.coalesce(1).write.mode("append").orc(f"{self.root}/registry/{table}")
+            schema = T.StructType.fromDDL(REGISTRY[table])
+            records = [dict(zip(schema.names, row)) for row in rows]
+            local = pa.Table.from_pylist(records, to_arrow_schema(schema))
+            frame = self.spark.createDataFrame(local, schema).coalesce(1)
+            frame.write.mode("append").orc(f"{self.root}/registry/{table}")
+            self._rows.pop(table, None)
 
     def property_types(self) -> dict[str, str]:
-        return {r["name"]: r["property_type"] for r in self.registry("properties").collect()}
+        return {r["name"]: r["property_type"] for r in self.rows("properties")}
 
-    def has_label(self, kind: str, label: str) -> bool:
-        same = (F.col("kind") == kind) & (F.col("label") == label)
-        return not self.registry("labels").where(same).isEmpty()
+    def labels(self, kind: str) -> set[str]:
+        return {r["label"] for r in self.rows("labels") if r["kind"] == kind}
 
     def index_properties(self, index: str) -> dict[str, str]:
-        rows = self.registry("indexes").where(F.col("index") == index).collect()
-        return {r["property"]: r["kind"] for r in rows}
+        return {r["property"]: r["kind"] for r in self.rows("indexes") if r["index"] == index}
 
     def index_name(self, label: str) -> str:
         return f"{self.name}_Vertex_{label}"
@@ -84,18 +100,18 @@ class GraphStore:
     # -- loads ----------------------------------------------------------------
 
     def loads(self, kind: str, label: str | None = None) -> list[Row]:
-        found = self.registry("loads").where(F.col("kind") == kind)
-        if label is not None:
-            found = found.where(F.col("label") == label)
-        return sorted(found.collect(), key=lambda r: r["seq"])
+        """Finished loads, oldest first."""
+        found = [
+            r for r in self.rows("loads") if r["kind"] == kind and label in (None, r["label"])
+        ]
+        return sorted(found, key=lambda r: r["seq"])
 
     def next_seq(self) -> int:
-        return (self.registry("loads").agg(F.max("seq")).first()[0] or 0) + 1
+        return max((r["seq"] for r in self.rows("loads")), default=0) + 1
 
     def next_id(self) -> int:
         """First id no vertex has yet; ids are unique across labels."""
-        taken = self.registry("loads").where(F.col("kind") == "vertex")
-        return (taken.agg(F.max("hi")).first()[0] or 0) + 1
+        return max((r["hi"] for r in self.loads("vertex")), default=0) + 1
 
     def path(self, kind: str, label: str, load_id: str) -> str:
         folder = {"vertex": "vertices", "edge": "edges", "reject": "rejects"}[kind]
