@@ -13,12 +13,12 @@ from weftgraph.sources.shared import stage
 ROW_BITS = 33
 
 
-def dense_ids(df: DataFrame, key: str, first_id: int, staging: str) -> DataFrame:
+def key_order_ids(df: DataFrame, key: str, first_id: int, staging: str) -> DataFrame:
     """``_vid`` = first_id, first_id + 1, ... in the order of ``key``, nulls first.
 
     Rows of the same key are numbered in scan order.  The scan position is
     part of the range key, so a key that holds a third of the rows is cut like
-    any other stretch, and the sampling pass reads the key column alone.
+    any other stretch, and the sampled bounds are as narrow as the key.
 
     The sorted rows are staged once: counting the partitions and numbering the
     rows must see the same cut.  What is broadcast has one row per partition.
@@ -33,8 +33,8 @@ def dense_ids(df: DataFrame, key: str, first_id: int, staging: str) -> DataFrame
     )
     staged = (
         stage(ranged, staging)
-        .withColumn("_wg_part", F.shiftright("_wg_row", ROW_BITS))
-        .withColumn("_wg_row", F.col("_wg_row").bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
+        .withColumn("_wg_part", segment_of(F.col("_wg_row")))
+        .withColumn("_wg_row", row_of(F.col("_wg_row")))
     )
     before = Window.orderBy("_wg_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -49,12 +49,30 @@ def dense_ids(df: DataFrame, key: str, first_id: int, staging: str) -> DataFrame
     return numbered.select(vid.cast("bigint").alias("_vid"), *[column(c) for c in df.columns])
 
 
-def sparse_ids(df: DataFrame, first_id: int) -> DataFrame:
-    """``_vid`` from the scan position: no shuffle, no staging, but with gaps."""
+def scan_ids(df: DataFrame, first_id: int) -> DataFrame:
+    """``_vid`` from the scan position, with gaps: no shuffle, no staging, one pass.
+
+    ``first_id`` starts a segment, see :func:`next_segment`; each partition of
+    the scan then numbers its rows from the start of a segment of its own.
+    """
     vid = F.lit(first_id) + F.monotonically_increasing_id()
     return df.select(vid.cast("bigint").alias("_vid"), *[column(c) for c in df.columns])
 
 
+def next_segment(first_id: int) -> int:
+    """First id of the first segment at or after ``first_id``."""
+    return -(-first_id >> ROW_BITS) << ROW_BITS
+
+
+def segment_of(vid: Column) -> Column:
+    return F.shiftright(vid, ROW_BITS)
+
+
+def row_of(vid: Column) -> Column:
+    """Row number within the segment, from 0."""
+    return vid.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+
+
 def check_intervals(tx_commit_interval: int, graph_tx_commit_interval: int) -> None:
     for name, value in (
         ("tx_commit_interval", tx_commit_interval),

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.functions.types import column, property_type
-from weftgraph.operators.skew import hot_keys, salted_join
-from weftgraph.operators.textmatch import distinct_texts, first_text_match
+from weftgraph.operators.ids import row_of, segment_of
 from weftgraph.operators.index import token_postings, value_postings
+from weftgraph.operators.skew import hot_keys, salted_join
+from weftgraph.operators.textmatch import first_text_match
 from weftgraph.sources.shared import stage
 from weftgraph.sources.store import GraphStore
 
@@ -88,7 +89,7 @@ def label_fallback(
             if vertices is None or prop not in vertices.columns:
                 return None
             if by_words:
-                postings = token_postings(distinct_texts(vertices, prop), prop)
+                postings = token_postings(vertices, prop)
             else:
                 postings = value_postings(vertices, prop)
         if by_words:
@@ -112,21 +113,21 @@ def _id_ranges(loads: list) -> list[tuple[int, int]]:
 def mark_dangling(ids: DataFrame, store: GraphStore) -> DataFrame:
     """Adds ``dangling``: is there no vertex of this ``vid``?
 
-    Dense loads have every id of their range, so the range tells.  Only ids
-    outside of those are looked up, in the loads numbered with gaps.
+    No vertex table is read.  Loads numbered in key order have every id of
+    their range; for those numbered in scan order, an id exists if its row
+    number is below the row count of its segment, one segment per scan task.
     """
     loads = store.loads("vertex")
-    in_range: Column = F.lit(False)
+    exists: Column = F.lit(False)
     for lo, hi in _id_ranges(loads):
-        in_range = in_range | F.col("vid").between(lo, hi)
-    sparse = [store.path("vertex", r["label"], r["load_id"]) for r in loads if not r["dense"]]
-    if not sparse:
-        return ids.withColumn("dangling", F.col("vid").isNotNull() & ~in_range)
-    known = store.spark.read.schema("_vid bigint").orc(sparse)
-    sought = F.when(~in_range, F.col("vid"))
-    return ids.join(known, sought == F.col("_vid"), "left").select(
-        *ids.columns,
-        (F.col("vid").isNotNull() & ~in_range & F.col("_vid").isNull()).alias("dangling"),
+        exists = exists | F.col("vid").between(lo, hi)
+    scanned = [r["load_id"] for r in loads if not r["dense"]]
+    if not scanned:
+        return ids.withColumn("dangling", F.col("vid").isNotNull() & ~exists)
+    segments = store.registry("segments").where(F.col("load_id").isin(scanned))
+    in_segment = F.coalesce(row_of(F.col("vid")) < F.col("rows"), F.lit(False))
+    return ids.join(segments, segment_of(F.col("vid")) == F.col("segment"), "left").select(
+        *ids.columns, (F.col("vid").isNotNull() & ~(exists | in_segment)).alias("dangling")
     )
 
 
@@ -146,8 +147,6 @@ def endpoint_table(
         F.when(~F.col("dangling"), F.col("vid")).alias("vid"),
         F.when(F.col("dangling"), "dangling").otherwise("map").alias("via"),
     )
-    if any(not r["dense"] for r in store.loads("vertex")):
-        in_map = stage(in_map, f"{work}/in_map")
     missed = looked_up.where(F.col("vid").isNull()).select("key", "n_edges")
     if missed.isEmpty():
         return in_map

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.functions.tokens import word_set
-from weftgraph.functions.types import column
 from weftgraph.operators.skew import grid_join, hot_keys, salted_join
 from weftgraph.sources.shared import stage
 
@@ -22,22 +21,20 @@ from weftgraph.sources.shared import stage
 WORD_SPLITS = 32
 
 
-def distinct_texts(vertices: DataFrame, prop: str) -> DataFrame:
-    """Lowest id per distinct value: copies of a text cannot win or lose."""
-    return (
-        vertices.where(column(prop).isNotNull())
-        .groupBy(column(prop).alias(prop))
-        .agg(F.min("_vid").alias("_vid"))
-    )
-
-
 def _wanted_postings(postings: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Postings of the wanted words alone."""
+    """Postings of the wanted words, one vertex for all that are alike in them.
+
+    Vertices with the same wanted words match the same keys, so only the one
+    with the lowest id can be an answer: copies of a text, and texts that
+    differ in other words only, become one candidate.
+    """
     dealt = postings.withColumn("_wg_salt", F.pmod(F.xxhash64("_vid"), WORD_SPLITS).cast("int"))
     copies = F.explode(F.sequence(F.lit(0), F.lit(WORD_SPLITS - 1))).alias("_wg_salt")
-    return dealt.join(wanted.select("token", copies), ["token", "_wg_salt"], "left_semi").select(
-        "token", "_vid"
-    )
+    kept = dealt.join(wanted.select("token", copies), ["token", "_wg_salt"], "left_semi")
+    # As long as the vertex's own text.
+    alike = kept.groupBy("_vid").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    first = alike.groupBy("tokens").agg(F.min("_vid").alias("_vid"))
+    return first.select(F.explode("tokens").alias("token"), "_vid")
 
 
 def _ranked_sets(sets: DataFrame, words: DataFrame) -> DataFrame:

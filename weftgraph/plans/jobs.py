@@ -17,7 +17,13 @@ from pyspark.sql import types as T
 
 from weftgraph.errors import NotRegisteredError, UnresolvedEndpointError
 from weftgraph.functions.types import column, supported_projection
-from weftgraph.operators.ids import check_intervals, dense_ids, sparse_ids
+from weftgraph.operators.ids import (
+    check_intervals,
+    key_order_ids,
+    next_segment,
+    scan_ids,
+    segment_of,
+)
 from weftgraph.operators.index import define_index, write_postings
 from weftgraph.operators.registry import (
     PropertyStatus,
@@ -153,17 +159,18 @@ def load_vertices(
     fmt: str = "orc",
     tx_commit_interval: int = 1000,
     graph_tx_commit_interval: int = 1,
-    ids: str = "dense",
+    id_order: str = "scan",
 ) -> LoadSummary:
     """One new vertex per source row, and the (key, id) map of these rows.
 
-    ``ids="dense"`` numbers the rows without gaps in key order, at the price of
-    one range shuffle and a staged copy.  ``ids="sparse"`` numbers them where
-    they are scanned, without any shuffle.
+    ``id_order="scan"`` numbers the rows where they are scanned: one pass, no
+    shuffle, ids with gaps.  ``id_order="key"`` numbers them without gaps in
+    the order of the primary key, the same on every run, at the price of a
+    range shuffle and a staged copy of the rows.
     """
     check_intervals(tx_commit_interval, graph_tx_commit_interval)
-    if ids not in ("dense", "sparse"):
-        raise ValueError("ids must be 'dense' or 'sparse'")
+    if id_order not in ("scan", "key"):
+        raise ValueError("id_order must be 'scan' or 'key'")
     spark = store.spark
     store.refresh()
     raw = scan(spark, source, fmt)
@@ -172,23 +179,27 @@ def load_vertices(
     require_registered(store, "vertex", label, raw.schema)
     rows = _like_earlier_loads(supported_projection(raw), store.element_schema("vertex", label))
 
-    load_id, first_id = uuid.uuid4().hex, store.next_id()
-    path, work = store.path("vertex", label, load_id), new_dir(spark, "load-vertices")
-    try:
-        if ids == "dense":
-            numbered = dense_ids(rows, primary_key_column, first_id, f"{work}/sorted")
-        else:
-            numbered = sparse_ids(rows, first_id)
+    load_id, first_id, dense = uuid.uuid4().hex, store.next_id(), id_order == "key"
+    path = store.path("vertex", label, load_id)
+    if dense:
+        work = new_dir(spark, "load-vertices")
+        try:
+            numbered = key_order_ids(rows, primary_key_column, first_id, f"{work}/sorted")
+            numbered.write.orc(path)
+        finally:
+            remove(spark, work)
+    else:
+        first_id = next_segment(first_id)
+        numbered = scan_ids(rows, first_id)
         numbered.write.orc(path)
-    finally:
-        remove(spark, work)
     written = spark.read.schema(numbered.schema).orc(path)
+    if not dense:
+        store.add_segments(load_id, written.select(segment_of(F.col("_vid")).alias("segment")))
     count, last_id = written.agg(F.count(F.lit(1)), F.max("_vid")).first()
     write_primary_key_map(primary_key_map(written, primary_key_column), primary_key_map_location)
 
     seq, fields = store.next_seq(), json.dumps(numbered.schema.jsonValue())
     last_id = first_id - 1 if last_id is None else last_id
-    dense = ids == "dense"
     loads = [("vertex", label, load_id, seq, first_id, last_id, count, dense, None, fields)]
     index = store.index_name(label)
     if store.index_properties(index):

@@ -2,7 +2,7 @@
 
 Every query builds its graph from the whole test tables in a folder of its
 own.  ``SQL`` is what another engine runs on the same tables; ids there are
-``row_number()`` over the primary key, which is how dense ids are given.
+``row_number()`` over the primary key, which is how ids are given in key order.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from weftgraph.functions.tokens import text_contains
 from weftgraph.functions.types import properties_long, supported_projection
-from weftgraph.operators.ids import commit_batches, commit_counts, dense_ids
+from weftgraph.operators.ids import commit_batches, commit_counts, key_order_ids
 from weftgraph.operators.index import define_index, token_postings, value_postings
 from weftgraph.operators.lookup import vertices_by_id, vertices_by_property, vertices_by_text
 from weftgraph.operators.registry import (
@@ -69,11 +69,9 @@ VERTICES = {
 }
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            SQL[function.__name__] = sql
+        QUERIES[name], SQL[name] = function, sql
         return function
 
     return register
@@ -97,13 +95,13 @@ def load_label(
     label: str,
     index: tuple[str, ...] = (),
     source: DataFrame | None = None,
-    ids: str = "dense",
+    id_order: str = "key",
 ):
     """Registers and loads one label from its table; the map is saved beside."""
     name, key = VERTICES[label]
     rows = table(store.spark, sf_dir, name) if source is None else source
     init_vertex(store, label, rows, index)
-    return load_vertices(store, label, rows, key, map_path(store, label), ids=ids)
+    return load_vertices(store, label, rows, key, map_path(store, label), id_order=id_order)
 
 
 def vid_sql(label: str, before: tuple[str, ...] = ()) -> str:
@@ -140,14 +138,14 @@ PROFILES_SQL = " UNION ALL ".join(profile_sql(t) for t in TABLES)
 # -- sources and maps --------------------------------------------------------
 
 
-@query("SELECT * FROM orders")
+@query("orc_scan", "SELECT * FROM orders")
 def orc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "orders-orc")
     table(spark, sf_dir, "orders").write.orc(path)
     return scan(spark, path)
 
 
-@query(f"SELECT c_custkey AS key, _vid AS vid FROM {vid_sql('Customer')}")
+@query("pk_map_scan", f"SELECT c_custkey AS key, _vid AS vid FROM {vid_sql('Customer')}")
 def pk_map_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_graph(spark)
     load_label(store, sf_dir, "Customer")
@@ -155,6 +153,7 @@ def pk_map_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
+    "pk_map_build",
     f'SELECT o_orderkey, (SELECT count(*) FROM orders) + _vid AS "vertexID" '
     f"FROM {vid_sql('Order')}"
 )
@@ -166,7 +165,7 @@ def pk_map_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, map_path(store, "Order"))
 
 
-@query(f"SELECT o_custkey AS key, max(_vid) AS vid FROM {vid_sql('Order')} GROUP BY o_custkey")
+@query("pk_map_dedupe", f"SELECT o_custkey AS key, max(_vid) AS vid FROM {vid_sql('Order')} GROUP BY o_custkey")
 def pk_map_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A map whose key repeats: customer of each order -> order."""
     store = new_graph(spark)
@@ -180,6 +179,7 @@ def pk_map_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
+    "schema_profile",
     f"SELECT table_name, position, name, {SOURCE_TYPE_SQL} AS source_type, "
     f"{PROPERTY_TYPE_SQL} AS property_type, n_values FROM ({PROFILES_SQL})"
 )
@@ -191,6 +191,7 @@ def profile_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
+    "register_properties",
     f"SELECT name, min({PROPERTY_TYPE_SQL}) AS property_type, 'SINGLE' AS cardinality, "
     f"CAST(sum(n_values) AS BIGINT) AS n_values FROM ({PROFILES_SQL}) "
     f"WHERE {PROPERTY_TYPE_SQL} IS NOT NULL GROUP BY name"
@@ -206,7 +207,7 @@ def registered_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.registry("properties").join(totals, "name")
 
 
-@query("""
+@query("property_conflicts", """
     SELECT 'k' AS name, 'Integer' AS offered_type, 'Long' AS registered_type,
            'conflict' AS status, count(s_nationkey) AS n_values FROM supplier
     UNION ALL SELECT 'name', 'String', 'String', 'exists', count(s_name) FROM supplier
@@ -226,7 +227,7 @@ def property_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statuses.join(value_counts(suppliers), "name")
 
 
-@query("""
+@query("register_labels", """
     SELECT 'vertex' AS kind, label FROM (
       SELECT lang AS label FROM documents UNION SELECT source FROM documents
       UNION SELECT event_type FROM events)
@@ -252,7 +253,7 @@ def registered_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.registry("labels")
 
 
-@query(f"""
+@query("init_vertex", f"""
     SELECT 'label' AS element, 'Customer' AS name, 'vertex' AS kind, count(*) AS n_values
     FROM customer
     UNION ALL SELECT 'property', name, {PROPERTY_TYPE_SQL}, n_values
@@ -283,7 +284,7 @@ def initialised_vertex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [labels, properties, *sizes])
 
 
-@query(f"""
+@query("init_edge", f"""
     SELECT 'PLACED' AS label, 'edge' AS kind, name, {PROPERTY_TYPE_SQL} AS property_type, n_values
     FROM ({profile_sql('orders')})""")
 def initialised_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,7 +295,7 @@ def initialised_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.registry("labels").crossJoin(named.drop("cardinality"))
 
 
-@query("""
+@query("edge_type_check", """
     SELECT 'o_custkey' AS edge_key, 'c_custkey' AS vertex_key, 'Long' AS edge_type,
            'Long' AS vertex_type, 'ok' AS status, count(o_custkey) AS n_values FROM orders
     UNION ALL SELECT 'o_orderkey', 'c_nationkey', 'Long', 'Integer', 'mismatch',
@@ -319,7 +320,7 @@ def edge_type_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.join(value_counts(orders).withColumnRenamed("name", "edge_key"), "edge_key")
 
 
-@query("""
+@query("edge_label_check", """
     SELECT event_type AS label, count(*) AS n_rows FROM events
     WHERE event_type NOT IN (SELECT lang FROM documents) GROUP BY event_type""")
 def edge_label_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,12 +337,12 @@ def edge_label_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- projections ---------------------------------------------------------------
 
 
-@query("SELECT vec_id, label FROM embeddings")
+@query("supported_projection", "SELECT vec_id, label FROM embeddings")
 def supported_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supported_projection(table(spark, sf_dir, "embeddings"))
 
 
-@query("""
+@query("properties_long", """
     SELECT c_custkey, key, value FROM (
       UNPIVOT (SELECT c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
                       CAST(c_acctbal AS VARCHAR) AS c_acctbal,
@@ -355,12 +356,12 @@ def sparse_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return properties_long(customers, ["c_custkey"])
 
 
-@query("SELECT event_id, date_trunc('millisecond', ts) AS ts FROM events")
+@query("ts_millis", "SELECT event_id, date_trunc('millisecond', ts) AS ts FROM events")
 def ts_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supported_projection(table(spark, sf_dir, "events").select("event_id", "ts"))
 
 
-@query("SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o_orderdate FROM orders")
+@query("date_to_instant", "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o_orderdate FROM orders")
 def date_to_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate")
@@ -373,20 +374,20 @@ def date_to_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- ids and vertex loads --------------------------------------------------------
 
 
-@query(f"SELECT _vid, o_orderkey FROM {vid_sql('Order')}")
+@query("assign_ids", f"SELECT _vid, o_orderkey FROM {vid_sql('Order')}")
 def assign_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    return dense_ids(orders, "o_orderkey", 1, new_dir(spark, "sorted"))
+    return key_order_ids(orders, "o_orderkey", 1, new_dir(spark, "sorted"))
 
 
-@query(f"SELECT 'Customer' AS _label, * FROM {vid_sql('Customer')}")
+@query("load_vertices", f"SELECT 'Customer' AS _label, * FROM {vid_sql('Customer')}")
 def load_vertex_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_graph(spark)
     load_label(store, sf_dir, "Customer")
     return store.vertices("Customer")
 
 
-@query(f"""
+@query("vertices_scan", f"""
     SELECT 'Customer' AS _label, _vid, c_custkey AS customer, c_acctbal AS amount,
            c_mktsegment AS class FROM {vid_sql('Customer')}
     UNION ALL SELECT 'Order', _vid, o_custkey, o_totalprice, o_orderpriority
@@ -405,7 +406,7 @@ def vertices_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""
+@query("append_loads", f"""
     SELECT _vid, c_custkey FROM {vid_sql('Customer')}
     UNION ALL SELECT _vid, c_custkey FROM {vid_sql('Customer', ('Customer',))}""")
 def append_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,7 +417,7 @@ def append_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.vertices("Customer").select("_vid", "c_custkey")
 
 
-@query(f"""
+@query("commit_batches", f"""
     SELECT o_orderkey, (_vid - 1) // 1000 + 1 AS tx_batch, (_vid - 1) // 1000 // 4 + 1 AS graph_batch
     FROM {vid_sql('Order')}""")
 def commit_batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,7 +427,7 @@ def commit_batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("o_orderkey", "tx_batch", "graph_batch")
 
 
-@query("""
+@query("load_summary", """
     SELECT label, elements, elements // 1000 + 1 AS tx_commits,
            elements // 1000 // 4 + 1 AS graph_commits
     FROM (SELECT 'Customer' AS label, count(*) AS elements FROM customer
@@ -452,7 +453,7 @@ SOME_KEYS_NULL = [
 ]
 
 
-@query(f"""
+@query("edge_key_filter", f"""
     SELECT * FROM (SELECT {', '.join(SOME_KEYS_NULL)} FROM orders)
     WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL""")
 def edge_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,7 +466,7 @@ def owing_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").where("c_acctbal >= 0")
 
 
-@query("""
+@query("map_hits", """
     SELECT o_orderkey, o_custkey FROM orders
     WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""")
 def map_hit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,7 +476,7 @@ def map_hit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_hits(orders, "o_custkey", read_primary_key_map(spark, map_path(store, "Customer")))
 
 
-@query(f"""
+@query("vertex_by_id", f"""
     SELECT _vid, c_custkey, c_name FROM {vid_sql('Customer')}
     WHERE c_custkey IN (SELECT o_custkey FROM orders)""")
 def vertex_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,7 +489,7 @@ def vertex_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vertices_by_id(store.all_vertices(), ids).select("_vid", "c_custkey", "c_name")
 
 
-@query(f"SELECT _vid, c_custkey FROM {vid_sql('Customer')} WHERE c_mktsegment = 'BUILDING'")
+@query("vertex_by_property", f"SELECT _vid, c_custkey FROM {vid_sql('Customer')} WHERE c_mktsegment = 'BUILDING'")
 def vertex_by_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_graph(spark)
     load_label(store, sf_dir, "Customer")
@@ -496,7 +497,7 @@ def vertex_by_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_vid", "c_custkey")
 
 
-@query(f"""
+@query("text_contains", f"""
     SELECT doc_id, list_has_all({words_sql('text')}, ['the', 'is']) AS both_words
     FROM documents""")
 def text_contains_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -505,7 +506,7 @@ def text_contains_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""
+@query("vertex_by_text", f"""
     SELECT _vid, p_partkey, p_name FROM {vid_sql('Part')}
     WHERE list_has_all({words_sql('p_name')}, ['small', 'ring'])""")
 def vertex_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,7 +517,7 @@ def vertex_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"SELECT p_size AS value, min(_vid) AS vid FROM {vid_sql('Part')} GROUP BY p_size")
+@query("first_match", f"SELECT p_size AS value, min(_vid) AS vid FROM {vid_sql('Part')} GROUP BY p_size")
 def first_match_per_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_graph(spark)
     load_label(store, sf_dir, "Part")
@@ -538,7 +539,7 @@ def _mapped_rows(spark: SparkSession, sf_dir: str, label: str, key: str, name: s
     return join_endpoints(orders, [(key, ends, wanted)], "left")
 
 
-@query("""
+@query("resolve_endpoint_a", """
     SELECT o_orderkey, o_custkey, coalesce(_src, 0) AS _src FROM orders LEFT JOIN
       (SELECT row_number() OVER (ORDER BY c_custkey) AS _src, c_custkey
        FROM customer WHERE c_acctbal >= 0) ON o_custkey = c_custkey""")
@@ -546,14 +547,14 @@ def resolve_endpoint_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped_rows(spark, sf_dir, "Customer", "o_custkey", "_src")
 
 
-@query(f"""
+@query("resolve_endpoint_b", f"""
     SELECT o.o_orderkey, o.o_custkey, v._vid AS _dst
     FROM orders o LEFT JOIN {vid_sql('Order')} v USING (o_orderkey)""")
 def resolve_endpoint_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped_rows(spark, sf_dir, "Order", "o_orderkey", "_dst")
 
 
-@query(f"""
+@query("fallback_exact", f"""
     SELECT o_custkey AS key, min(_vid) AS vid
     FROM orders JOIN {vid_sql('Customer')} ON o_custkey = c_custkey GROUP BY o_custkey""")
 def fallback_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -581,25 +582,26 @@ def _by_words(
     return search(keys)
 
 
-@query(FIRST_NAME_SQL)
+@query("fallback_text", FIRST_NAME_SQL)
 def fallback_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "part").select(F.col("p_name").alias("key")).distinct()
     return _by_words(spark, sf_dir, "Part", "p_name", keys, False)
 
 
-@query(FIRST_NAME_SQL)
+@query("fallback_text_indexed", FIRST_NAME_SQL)
 def fallback_text_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "part").select(F.col("p_name").alias("key")).distinct()
     return _by_words(spark, sf_dir, "Part", "p_name", keys, True)
 
 
-@query(f"""
-    SELECT k.key, min(v._vid) AS vid
-    FROM (SELECT text AS key, {words_sql('text')} AS w FROM
-          (SELECT text FROM benchmark UNION SELECT text FROM conversations)) k
-    JOIN (SELECT _vid, {words_sql('text')} AS w FROM {vid_sql('Document')}) v
-      ON len(k.w) > 0 AND list_has_all(v.w, k.w)
-    GROUP BY k.key""")
+@query("fallback_text_passages", f"""
+    WITH k AS (SELECT text AS key, {words_sql('text')} AS w FROM
+               (SELECT text FROM benchmark UNION SELECT text FROM conversations)),
+         kw AS (SELECT key, len(w) AS n, unnest(w) AS word FROM k),
+         vw AS (SELECT _vid, unnest({words_sql('text')}) AS word FROM {vid_sql('Document')})
+    SELECT key, min(_vid) AS vid FROM
+      (SELECT key, n, _vid FROM kw JOIN vw USING (word) GROUP BY ALL HAVING count(*) = n)
+    GROUP BY key""")
 def fallback_text_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long keys in long texts: passages and turns found in documents."""
     passages = table(spark, sf_dir, "benchmark").select("text")
@@ -608,7 +610,7 @@ def fallback_text_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_words(spark, sf_dir, "Document", "text", keys, False)
 
 
-@query(f"""
+@query("resolve_cascade", f"""
     SELECT o.o_custkey AS key, o.n_edges, v._vid AS vid,
            CASE WHEN v.c_acctbal >= 0 THEN 'map' WHEN v._vid IS NOT NULL THEN 'search'
                 ELSE 'missing' END AS via
@@ -626,7 +628,7 @@ def resolve_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return endpoint_table(store, keys, read_primary_key_map(spark, saved), search, work)
 
 
-@query(f"""
+@query("dangling_ids", f"""
     SELECT c_custkey AS key, _vid + CASE WHEN c_acctbal < 0 THEN (SELECT count(*) FROM customer)
            ELSE 0 END AS vid, c_acctbal < 0 AS dangling
     FROM {vid_sql('Customer')}""")
@@ -654,7 +656,7 @@ def load_placed(store: GraphStore, sf_dir: str, **options):
     return load_edges(store, "PLACED", orders, *PLACED_KEYS, *maps, **options)
 
 
-@query(f"""
+@query("load_edges", f"""
     SELECT 'PLACED' AS _label, c._vid AS _src, v._vid AS _dst, o.*
     FROM orders o JOIN {vid_sql('Customer')} c ON o.o_custkey = c.c_custkey
     JOIN {vid_sql('Order', ('Customer',))} v ON o.o_orderkey = v.o_orderkey""")
@@ -667,7 +669,7 @@ def load_edges_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.edges("PLACED")
 
 
-@query(f"""
+@query("load_edges_supplies", f"""
     SELECT 'SUPPLIES' AS _label, s._vid AS _src, p._vid AS _dst, l.*
     FROM lineitem l JOIN {vid_sql('Supplier')} s ON l_suppkey = s_suppkey
     JOIN {vid_sql('Part', ('Supplier',))} p ON l_partkey = p_partkey""")
@@ -685,7 +687,7 @@ def load_edges_supplies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.edges("SUPPLIES")
 
 
-@query(f"""
+@query("load_edges_lives_in", f"""
     SELECT 'LIVES_IN' AS _label, c._vid AS _src, n._vid AS _dst, c.c_custkey, c.c_nationkey
     FROM {vid_sql('Customer', ('Nation',))} c JOIN {vid_sql('Nation')} n ON c_nationkey = n_nationkey""")
 def load_edges_lives_in(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -702,7 +704,7 @@ def load_edges_lives_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.edges("LIVES_IN")
 
 
-@query(f"""
+@query("load_edges_by_text", f"""
     SELECT 'NAMED_AS' AS _label, v._vid AS _src, f.vid AS _dst, v.p_partkey, v.p_name
     FROM {vid_sql('Part')} v JOIN ({FIRST_NAME_SQL}) f ON v.p_name = f.key""")
 def load_edges_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -720,7 +722,7 @@ def load_edges_by_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.edges("NAMED_AS")
 
 
-@query("""
+@query("unresolved_edges", """
     SELECT * FROM (
       SELECT CASE WHEN c_custkey IS NULL THEN 'missing' END AS _src_reason,
              CASE WHEN o_orderstatus = 'P' THEN 'missing' END AS _dst_reason, o.*
@@ -736,14 +738,14 @@ def unresolved_edge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.rejects("PLACED")
 
 
-@query("""
+@query("load_edges_scan_ids", """
     SELECT o_orderkey, c_custkey AS src_key, o_orderkey AS dst_key
     FROM orders JOIN customer ON o_custkey = c_custkey""")
-def load_edges_sparse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_edges_scan_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same edges over vertices numbered with gaps, shown by their keys."""
     store = new_graph(spark)
-    load_label(store, sf_dir, "Customer", ids="sparse")
-    load_label(store, sf_dir, "Order", ids="sparse")
+    load_label(store, sf_dir, "Customer", id_order="scan")
+    load_label(store, sf_dir, "Order", id_order="scan")
     load_placed(store, sf_dir)
     a = store.vertices("Customer").select(F.col("_vid").alias("_src"), F.col("c_custkey").alias("src_key"))
     b = store.vertices("Order").select(F.col("_vid").alias("_dst"), F.col("o_orderkey").alias("dst_key"))
@@ -754,7 +756,7 @@ def load_edges_sparse_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- indexes -----------------------------------------------------------------------------
 
 
-@query(f"""
+@query("index_define", f"""
     SELECT 'graph_Vertex_Part' AS index, 'Part' AS label, 'p_name' AS property, 'text' AS kind,
            CAST(sum(len({words_sql('p_name')})) AS BIGINT) AS n_postings FROM part
     UNION ALL SELECT 'graph_Vertex_Part', 'Part', 'p_size', 'value', count(p_size) FROM part""")
@@ -773,21 +775,21 @@ def index_definition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.registry("indexes").join(reduce(DataFrame.unionByName, sizes), "property")
 
 
-@query(f"SELECT unnest({words_sql('text')}) AS token, _vid FROM {vid_sql('Document')}")
+@query("token_index", f"SELECT unnest({words_sql('text')}) AS token, _vid FROM {vid_sql('Document')}")
 def token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_graph(spark)
     load_label(store, sf_dir, "Document", ("text",))
     return store.postings(store.index_name("Document"), "text")
 
 
-@query(f"SELECT p_size AS value, _vid FROM {vid_sql('Part')} WHERE p_size IS NOT NULL")
+@query("value_index", f"SELECT p_size AS value, _vid FROM {vid_sql('Part')} WHERE p_size IS NOT NULL")
 def value_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_graph(spark)
     load_label(store, sf_dir, "Part", ("p_size",))
     return store.postings(store.index_name("Part"), "p_size")
 
 
-@query(f"""
+@query("reindex", f"""
     SELECT unnest({words_sql('p_name')}) AS token, _vid FROM {vid_sql('Part')}
     UNION ALL SELECT unnest({words_sql('p_name')}), _vid FROM {vid_sql('Part', ('Part',))}""")
 def index_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -799,7 +801,7 @@ def index_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.postings(store.index_name("Part"), "p_name")
 
 
-@query(f"SELECT unnest({words_sql('text')}) AS token, _vid FROM {vid_sql('Document')}")
+@query("document_words", f"SELECT unnest({words_sql('text')}) AS token, _vid FROM {vid_sql('Document')}")
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings derived on the fly equal those of the index."""
     store = new_graph(spark)

@@ -4,6 +4,7 @@
     registry/labels       (kind, label)
     registry/indexes      (index, label, property, kind)
     registry/loads        one row per finished load
+    registry/segments     (load_id, segment, rows) of ids given in scan order
     vertices/label=L/load=I/   _vid and the property columns
     edges/label=E/load=I/      _src, _dst and the property columns
     rejects/label=E/load=I/    edge rows left out, and why
@@ -36,6 +37,7 @@ REGISTRY = {
         "kind string, label string, load_id string, seq bigint, lo bigint, hi bigint, "
         "rows bigint, dense boolean, full boolean, fields string"
     ),
+    "segments": "load_id string, segment bigint, rows bigint",
 }
 
 
@@ -85,6 +87,13 @@ class GraphStore:
             frame.write.mode("append").orc(f"{self.root}/registry/{table}")
             self._rows.pop(table, None)
 
+    def add_segments(self, load_id: str, segments: DataFrame) -> None:
+        """Row count of each id segment; ``segments`` has one row per vertex."""
+        counted = segments.groupBy("segment").agg(F.count(F.lit(1)).alias("rows"))
+        counted.select(F.lit(load_id).alias("load_id"), "segment", "rows").write.mode(
+            "append"
+        ).orc(f"{self.root}/registry/segments")
+
     def property_types(self) -> dict[str, str]:
         return {r["name"]: r["property_type"] for r in self.rows("properties")}
 
