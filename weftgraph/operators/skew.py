@@ -31,6 +31,11 @@ def _with_splits(df: DataFrame, key: Column, hot: DataFrame) -> DataFrame:
     return df.join(F.broadcast(hot), key == F.col("_wg_hot"), "left").drop("_wg_hot")
 
 
+def _dealt(position: Column, parts: Column) -> Column:
+    """Part of a row.  Hashed, as rows of a key may come at regular positions."""
+    return F.pmod(F.xxhash64(position), parts).cast("int")
+
+
 def salted_join(
     many: DataFrame,
     one: DataFrame,
@@ -52,7 +57,7 @@ def salted_join(
     splits = F.coalesce(F.col("_wg_splits"), F.lit(1))
     left = (
         _with_splits(many, many_key, hot)
-        .withColumn("_wg_salt", F.pmod(position, splits).cast("int"))
+        .withColumn("_wg_salt", _dealt(position, splits))
         .drop("_wg_splits")
     )
     right = (
@@ -97,7 +102,7 @@ def grid_join(
         own_count, other_count = (F.coalesce(F.col(c), F.lit(1)) for c in (own, other))
         return placed.select(
             *df.columns,
-            F.pmod(F.col(number), own_count).cast("int").alias(own + "_own"),
+            _dealt(F.col(number), own_count).alias(own + "_own"),
             F.explode(F.sequence(F.lit(0), other_count - 1)).alias(other + "_all"),
         )
 

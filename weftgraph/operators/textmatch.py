@@ -110,7 +110,7 @@ def first_text_match(keys: DataFrame, postings: DataFrame, work: str) -> DataFra
         F.col("words"),
         "set_words",
         hot_keys(sets, "words", "n_keys"),
-        F.xxhash64("key"),
+        F.col("key"),
     ).select("key", "vid")
 
 
