@@ -39,17 +39,17 @@ def _wanted_postings(postings: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _ranked_sets(sets: DataFrame, words: DataFrame) -> DataFrame:
     """Per set whose words are all known: its words from rare to frequent."""
-    set_words = sets.select("set_id", F.explode("words").alias("word"))
+    set_words = sets.select(
+        "set_id", F.size("words").alias("n_words"), F.explode("words").alias("word")
+    )
     use = set_words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     found = salted_join(
         set_words, words, F.col("word"), "token", hot_keys(use, "word", "n"), F.col("set_id")
     )
     # As long as the key's own text: one struct per word of the set.
     by_rarity = F.array_sort(F.collect_list(F.struct("n_vertices", "word", "first_vid")))
-    ranked = found.groupBy("set_id").agg(by_rarity.alias("ranked"))
-    complete = ranked.join(
-        sets.select("set_id", F.size("words").alias("n_words")), "set_id"
-    ).where(F.size("ranked") == F.col("n_words"))
+    ranked = found.groupBy("set_id", "n_words").agg(by_rarity.alias("ranked"))
+    complete = ranked.where(F.size("ranked") == F.col("n_words"))
     word = F.col("ranked.word")
     return complete.select(
         "set_id",
