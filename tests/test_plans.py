@@ -13,12 +13,14 @@ from weftgraph import init_edge, init_vertex, load_vertices
 from weftgraph.operators.ids import key_order_ids, scan_ids
 from weftgraph.operators.index import token_postings
 from weftgraph.operators.resolve import (
+    Endpoints,
     edges_with_keys,
     key_counts,
     map_lookup,
     mark_dangling,
     resolved_edges,
 )
+from weftgraph.operators.skew import hot_keys
 from weftgraph.operators.textmatch import first_text_match
 from weftgraph.sources.tables import read_primary_key_map, scan
 
@@ -92,15 +94,18 @@ def test_only_columns_asked_for_are_read(spark, store, edges):
 def test_edge_join_has_no_nested_loop_and_broadcasts_hot_keys_only(
     spark, store, edges, no_small_data_plans
 ):
-    ends = spark.range(1000).selectExpr("id AS key", "1L AS n_edges", "id AS vid", "'map' AS via")
-    hot = key_counts(edges, "a").selectExpr("key", "n_edges", "key AS vid", "'map' AS via")
+    def ends(key):
+        counts = key_counts(edges, key)
+        table = counts.selectExpr("key", "n_edges", "key AS vid", "'map' AS via")
+        return Endpoints(table, hot_keys(counts, "key", "n_edges"), 0)
+
     init_edge(store, "E", edges)
-    plan = _plan(resolved_edges(edges, "a", "b", hot, ends))
+    plan = _plan(resolved_edges(edges, "a", "b", ends("a"), ends("b")))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "_wg_salt" in plan
     tree = plan.split("\n\n")[0]
     assert tree.count("SortMergeJoin") == 2
-    assert tree.count("BroadcastHashJoin") == 2  # splits of hot keys, once per side
+    assert tree.count("BroadcastHashJoin") == 2  # splits of a's hot keys, once per side
 
 
 def test_word_search_is_all_equi_joins(spark, work, no_small_data_plans):

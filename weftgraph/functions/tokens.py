@@ -16,7 +16,7 @@ def words(text: Column) -> Column:
 
 def word_set(text: Column) -> Column:
     """Distinct words in sorted order, so equal sets are equal arrays."""
-    return F.array_sort(F.array_distinct(words(text)))
+    return F.sort_array(F.array_distinct(words(text)))
 
 
 def text_contains(text: Column, query: Column | str) -> Column:

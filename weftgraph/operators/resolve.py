@@ -8,6 +8,7 @@ keys, and the job whether anything is unresolved before it writes an edge.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from weftgraph.functions.types import column, property_type
 from weftgraph.operators.ids import row_of, segment_of
 from weftgraph.operators.index import token_postings, value_postings
-from weftgraph.operators.skew import hot_keys, salted_join
+from weftgraph.operators.skew import hot_keys_of, salted_join
 from weftgraph.operators.textmatch import first_text_match
 from weftgraph.sources.shared import stage
 from weftgraph.sources.store import GraphStore
@@ -131,100 +132,114 @@ def mark_dangling(ids: DataFrame, store: GraphStore) -> DataFrame:
     )
 
 
-def endpoint_table(
+@dataclass(frozen=True)
+class Endpoints:
+    """The resolved keys of one side of the edges.
+
+    ``table`` has (key, n_edges, vid, via) for each distinct key.  ``via`` is
+    ``map``, ``search``, ``dangling`` (the map names an id that no vertex has)
+    or ``missing``; ``vid`` is null for the last two, which ``lost`` counts.
+    ``hot`` holds the keys whose edge rows have to be dealt out.
+    """
+
+    table: DataFrame
+    hot: DataFrame | None
+    lost: int
+
+
+def resolve_keys(
     store: GraphStore, keys: DataFrame, pk_map: DataFrame, fallback: Fallback, work: str
-) -> DataFrame:
-    """(key, n_edges, vid, via) for each distinct key, read from staged tables.
+) -> Endpoints:
+    """Looks the keys up in the map, and searches for those it does not have.
 
-    ``via`` is ``map``, ``search``, ``dangling`` (the map names an id that no
-    vertex has) or ``missing``; ``vid`` is null for the last two.  A key in the
-    map is never searched for, and the label of its vertex is not looked at.
+    A key in the map is never searched for, even if its id is dangling, and the
+    label of its vertex is not looked at.
     """
     looked_up = stage(map_lookup(keys, pk_map), f"{work}/looked_up")
-    in_map = mark_dangling(looked_up.where(F.col("vid").isNotNull()), store).select(
+    marked = mark_dangling(looked_up, store)
+    total, largest, missed, dangling = marked.agg(
+        F.sum("n_edges"),
+        F.max("n_edges"),
+        F.count_if(F.col("vid").isNull()),
+        F.count_if("dangling"),
+    ).first()
+    table = marked.where(F.col("vid").isNotNull()).select(
         "key",
         "n_edges",
         F.when(~F.col("dangling"), F.col("vid")).alias("vid"),
         F.when(F.col("dangling"), "dangling").otherwise("map").alias("via"),
     )
-    missed = looked_up.where(F.col("vid").isNull()).select("key", "n_edges")
-    if missed.isEmpty():
-        return in_map
-    found = fallback(missed.select("key"))
-    if found is None:
-        searched = missed.withColumn("vid", F.lit(None).cast("bigint"))
-    else:
-        searched = missed.join(found, "key", "left")
-    via = F.when(F.col("vid").isNotNull(), "search").otherwise("missing")
-    return in_map.unionByName(stage(searched.withColumn("via", via), f"{work}/searched"))
+    lost = dangling
+    if missed:
+        absent = looked_up.where(F.col("vid").isNull()).select("key", "n_edges")
+        found = fallback(absent.select("key"))
+        if found is None:
+            searched = absent.withColumn("vid", F.lit(None).cast("bigint"))
+        else:
+            searched = absent.join(found, "key", "left")
+        via = F.when(F.col("vid").isNotNull(), "search").otherwise("missing")
+        searched = stage(searched.withColumn("via", via), f"{work}/searched")
+        lost += searched.where(F.col("vid").isNull()).count()
+        table = table.unionByName(searched)
+    return Endpoints(table, hot_keys_of(looked_up, "key", "n_edges", total, largest), lost)
 
 
 def join_endpoints(
     edges: DataFrame,
-    sides: list[tuple[str, DataFrame, DataFrame]],
+    sides: list[tuple[str, DataFrame, DataFrame | None]],
     how: str,
 ) -> DataFrame:
-    """Joins edge rows to endpoint columns, one side after the other.
+    """Joins edge rows to columns of their endpoints, one side after the other.
 
-    Each side is (edge key column, endpoint table, columns wanted: ``key`` and
-    more).  The row's position in the scan deals out rows of hot keys; it is
-    taken before the first shuffle, where a repeated task sees the same rows.
+    Each side is (edge key column, columns wanted: ``key`` and more, hot keys).
+    The row's position in the scan deals out the rows of hot keys; it is taken
+    before the first shuffle, where a repeated task sees the same rows.
     """
-    hot = [hot_keys(table, "key", "n_edges") for _, table, _ in sides]
-    if any(h is not None for h in hot):
+    columns = edges.columns
+    if any(hot is not None for _, _, hot in sides):
         edges = edges.withColumn("_wg_position", F.monotonically_increasing_id())
-    for (key, _, wanted), hot_side in zip(sides, hot):
+    names = []
+    for key, wanted, hot in sides:
+        names += [c for c in wanted.columns if c != "key"]
         edges = salted_join(
             edges,
             wanted.withColumnRenamed("key", "_wg_key"),
             column(key),
             "_wg_key",
-            hot_side,
-            F.col("_wg_position") if hot_side is not None else F.lit(0),
+            hot,
+            F.col("_wg_position"),
             how,
         )
-    return edges.drop("_wg_position")
+    return edges.select(*names, *[column(c) for c in columns])
 
 
 def resolved_edges(
-    edges: DataFrame, key_a: str, key_b: str, ends_a: DataFrame, ends_b: DataFrame
+    edges: DataFrame, key_a: str, key_b: str, ends_a: Endpoints, ends_b: Endpoints
 ) -> DataFrame:
     """Edge rows with ``_src`` (A) and ``_dst`` (B); all own columns are kept."""
-    columns = edges.columns
-    joined = join_endpoints(
-        edges,
-        [
-            (
-                key,
-                ends,
-                ends.where(F.col("vid").isNotNull()).select("key", F.col("vid").alias(name)),
-            )
-            for key, ends, name in ((key_a, ends_a, "_src"), (key_b, ends_b, "_dst"))
-        ],
-        "inner",
-    )
-    return joined.select("_src", "_dst", *[column(c) for c in columns])
+    sides = [
+        (
+            key,
+            ends.table.where(F.col("vid").isNotNull()).select("key", F.col("vid").alias(name)),
+            ends.hot,
+        )
+        for key, ends, name in ((key_a, ends_a, "_src"), (key_b, ends_b, "_dst"))
+    ]
+    return join_endpoints(edges, sides, "inner")
 
 
 def unresolved_edges(
-    edges: DataFrame, key_a: str, key_b: str, ends_a: DataFrame, ends_b: DataFrame
+    edges: DataFrame, key_a: str, key_b: str, ends_a: Endpoints, ends_b: Endpoints
 ) -> DataFrame:
-    """Edge rows with an unresolved endpoint; the reasons say why."""
-    columns = edges.columns
-    joined = join_endpoints(
-        edges,
-        [
-            (
-                key,
-                ends,
-                ends.where(F.col("vid").isNull()).select("key", F.col("via").alias(name)),
-            )
-            for key, ends, name in ((key_a, ends_a, "_wg_why_a"), (key_b, ends_b, "_wg_why_b"))
-        ],
-        "left",
-    )
-    return joined.where("_wg_why_a IS NOT NULL OR _wg_why_b IS NOT NULL").select(
-        F.col("_wg_why_a").alias("_src_reason"),
-        F.col("_wg_why_b").alias("_dst_reason"),
-        *[column(c) for c in columns],
-    )
+    """Edge rows with an unresolved endpoint, and for each side why, else null."""
+    names = ("_src_reason", "_dst_reason")
+    sides = [
+        (
+            key,
+            ends.table.where(F.col("vid").isNull()).select("key", F.col("via").alias(name)),
+            ends.hot,
+        )
+        for key, ends, name in ((key_a, ends_a, names[0]), (key_b, ends_b, names[1]))
+    ]
+    joined = join_endpoints(edges, sides, "left")
+    return joined.where(F.col(names[0]).isNotNull() | F.col(names[1]).isNotNull())

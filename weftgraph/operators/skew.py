@@ -14,11 +14,20 @@ from pyspark.sql import functions as F
 def hot_keys(counts: DataFrame, key: str, rows: str) -> DataFrame | None:
     """(key, _wg_splits) of hot keys; None if there are none.
 
-    ``counts`` holds one row per key.  The splits of all keys together are at
-    most twice the number of partitions.
+    ``counts`` holds one row per key.
     """
-    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total, largest = counts.agg(F.sum(rows), F.max(rows)).first()
+    return hot_keys_of(counts, key, rows, total, largest)
+
+
+def hot_keys_of(
+    counts: DataFrame, key: str, rows: str, total: int | None, largest: int | None
+) -> DataFrame | None:
+    """As :func:`hot_keys`, where the sum and the maximum are known already.
+
+    The splits of all keys together are at most twice the number of partitions.
+    """
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = max(1, -(-(total or 0) // partitions))
     if not total or largest <= share:
         return None

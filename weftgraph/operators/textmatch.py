@@ -14,25 +14,42 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.tokens import word_set
 from weftgraph.operators.skew import grid_join, hot_keys, salted_join
-from weftgraph.sources.shared import stage
+from weftgraph.sources.shared import fits_broadcast, stage
 
-# Postings of one word are dealt over this many partitions before anything is
-# known about how frequent the word is.
+# Partitions one word's postings are dealt over before its frequency is known.
 WORD_SPLITS = 32
+# Bytes a word takes in a broadcast table beside its own.
+WORD_OVERHEAD = 40
 
 
-def _wanted_postings(postings: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Postings of the wanted words, one vertex for all that are alike in them.
+def _with_wanted_words(postings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Postings whose word is wanted.
 
-    Vertices with the same wanted words match the same keys, so only the one
-    with the lowest id can be an answer: copies of a text, and texts that
-    differ in other words only, become one candidate.
+    If all wanted words fit the broadcast limit, the postings stay where they
+    are.  Else they are shuffled, each word dealt over several partitions, as
+    nothing is known yet about how frequent it is.
     """
-    dealt = postings.withColumn("_wg_salt", F.pmod(F.xxhash64("_vid"), WORD_SPLITS).cast("int"))
+    row_bytes = F.octet_length("token") + WORD_OVERHEAD
+    size = wanted.agg(F.sum(row_bytes)).first()[0] or 0
+    if fits_broadcast(postings.sparkSession, size):
+        return postings.join(F.broadcast(wanted), "token", "left_semi")
+    salt = F.pmod(F.xxhash64("_vid"), WORD_SPLITS).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(WORD_SPLITS - 1))).alias("_wg_salt")
-    kept = dealt.join(wanted.select("token", copies), ["token", "_wg_salt"], "left_semi")
+    return (
+        postings.withColumn("_wg_salt", salt)
+        .join(wanted.select("token", copies), ["token", "_wg_salt"], "left_semi")
+        .select("token", "_vid")
+    )
+
+
+def _one_of_each_kind(kept: DataFrame) -> DataFrame:
+    """Of the vertices that have the same wanted words, the one with the lowest id.
+
+    They match the same keys, so no other can be an answer: copies of a text,
+    and texts that differ in other words only, become one candidate.
+    """
     # As long as the vertex's own text.
-    alike = kept.groupBy("_vid").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+    alike = kept.groupBy("_vid").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
     first = alike.groupBy("tokens").agg(F.min("_vid").alias("_vid"))
     return first.select(F.explode("tokens").alias("token"), "_vid")
 
@@ -47,7 +64,7 @@ def _ranked_sets(sets: DataFrame, words: DataFrame) -> DataFrame:
         set_words, words, F.col("word"), "token", hot_keys(use, "word", "n"), F.col("set_id")
     )
     # As long as the key's own text: one struct per word of the set.
-    by_rarity = F.array_sort(F.collect_list(F.struct("n_vertices", "word", "first_vid")))
+    by_rarity = F.sort_array(F.collect_list(F.struct("n_vertices", "word", "first_vid")))
     ranked = found.groupBy("set_id", "n_words").agg(by_rarity.alias("ranked"))
     complete = ranked.where(F.size("ranked") == F.col("n_words"))
     word = F.col("ranked.word")
@@ -75,8 +92,8 @@ def first_text_match(keys: DataFrame, postings: DataFrame, work: str) -> DataFra
         .withColumn("set_id", F.monotonically_increasing_id()),
         f"{work}/sets",
     )
-    wanted = sets.select(F.explode("words").alias("token")).distinct()
-    kept = stage(_wanted_postings(postings, wanted), f"{work}/postings")
+    wanted = stage(sets.select(F.explode("words").alias("token")).distinct(), f"{work}/wanted")
+    kept = stage(_one_of_each_kind(_with_wanted_words(postings, wanted)), f"{work}/postings")
     words = stage(
         kept.groupBy("token").agg(
             F.count(F.lit(1)).alias("n_vertices"), F.min("_vid").alias("first_vid")

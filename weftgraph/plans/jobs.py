@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -34,10 +35,11 @@ from weftgraph.operators.registry import (
     require_registered,
 )
 from weftgraph.operators.resolve import (
+    Endpoints,
     edges_with_keys,
-    endpoint_table,
     key_counts,
     label_fallback,
+    resolve_keys,
     resolved_edges,
     unresolved_edges,
 )
@@ -251,23 +253,21 @@ def load_edges(
     rows = _like_earlier_loads(rows, store.element_schema("edge", label))
     load_id, work = uuid.uuid4().hex, new_dir(spark, "load-edges")
     try:
-        ends = []
-        for side, key, vertex_label, vertex_key, saved in (
-            ("a", edge_key_a, vertex_label_a, vertex_key_a, map_a),
-            ("b", edge_key_b, vertex_label_b, vertex_key_b, map_b),
-        ):
-            folder = f"{work}/{side}"
-            ends.append(
-                endpoint_table(
-                    store,
-                    key_counts(rows, key),
-                    read_primary_key_map(spark, saved),
-                    label_fallback(store, vertex_label, vertex_key, folder, use_index),
-                    folder,
-                )
-            )
-        ends_a, ends_b = ends
-        lost_a, lost_b = (_lost(e) for e in ends)
+        sides = [
+            (f"{work}/a", edge_key_a, vertex_label_a, vertex_key_a, map_a),
+            (f"{work}/b", edge_key_b, vertex_label_b, vertex_key_b, map_b),
+        ]
+
+        def resolve(side: tuple) -> Endpoints:
+            folder, key, vertex_label, vertex_key, saved = side
+            pk_map = read_primary_key_map(spark, saved)
+            search = label_fallback(store, vertex_label, vertex_key, folder, use_index)
+            return resolve_keys(store, key_counts(rows, key), pk_map, search, folder)
+
+        # The sides are independent; tasks of one fill the cores the other leaves.
+        with ThreadPoolExecutor(len(sides)) as pool:
+            ends = list(pool.map(resolve, sides))
+        lost_a, lost_b = (e.lost for e in ends)
         if on_missing == "error" and (lost_a or lost_b):
             raise UnresolvedEndpointError(
                 f"{lost_a} keys of {edge_key_a} and {lost_b} keys of {edge_key_b} "
@@ -292,10 +292,6 @@ def load_edges(
     )
 
 
-def _lost(ends: DataFrame) -> int:
-    return ends.where(F.col("vid").isNull()).count()
-
-
 def _write_load(
     store: GraphStore, kind: str, label: str, load_id: str, df: DataFrame
 ) -> tuple:

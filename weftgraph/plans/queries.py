@@ -30,7 +30,6 @@ from weftgraph.operators.registry import (
 )
 from weftgraph.operators.resolve import (
     edges_with_keys,
-    endpoint_table,
     first_exact_match,
     first_match,
     join_endpoints,
@@ -40,7 +39,9 @@ from weftgraph.operators.resolve import (
     map_hits,
     map_lookup,
     mark_dangling,
+    resolve_keys,
 )
+from weftgraph.operators.skew import hot_keys
 from weftgraph.plans.jobs import init_edge, init_vertex, load_edges, load_vertices, reindex
 from weftgraph.sources.shared import new_dir, stage
 from weftgraph.sources.store import GraphStore
@@ -536,7 +537,7 @@ def _mapped_rows(spark: SparkSession, sf_dir: str, label: str, key: str, name: s
     saved = read_primary_key_map(spark, map_path(store, label))
     ends = stage(map_lookup(key_counts(orders, key), saved), f"{store.root}/ends")
     wanted = ends.select("key", F.coalesce("vid", F.lit(0)).alias(name))
-    return join_endpoints(orders, [(key, ends, wanted)], "left")
+    return join_endpoints(orders, [(key, wanted, hot_keys(ends, "key", "n_edges"))], "left")
 
 
 @query("resolve_endpoint_a", """
@@ -625,7 +626,7 @@ def resolve_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = key_counts(table(spark, sf_dir, "orders"), "o_custkey")
     work = f"{store.root}/work"
     search = label_fallback(store, "Customer", "c_custkey", work)
-    return endpoint_table(store, keys, read_primary_key_map(spark, saved), search, work)
+    return resolve_keys(store, keys, read_primary_key_map(spark, saved), search, work).table
 
 
 @query("dangling_ids", f"""

@@ -43,6 +43,12 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fits_broadcast(spark: SparkSession, table_bytes: int) -> bool:
+    """Is a table of this many bytes within the session's own broadcast limit?"""
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return table_bytes <= limit
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder this process made."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
