@@ -47,9 +47,9 @@ def test_no_row_work_outside_spark():
     assert not [c for c in _calls() if c[1] in banned]
 
 
-def test_rows_are_collected_from_the_registry_only():
+def test_only_the_registry_is_collected():
     places = {name for name, attr in _calls() if attr == "collect"}
-    assert places <= {"store.py", "registry.py", "queries.py"}
+    assert places == {"store.py"}
 
 
 @pytest.fixture

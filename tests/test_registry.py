@@ -13,13 +13,13 @@ from weftgraph.errors import (
 from weftgraph.operators.index import define_index
 from weftgraph.operators.registry import (
     key_pairs,
-    missing_labels,
     register_label,
     register_labels,
     register_properties,
     require_key_pairs,
     require_labels,
     require_registered,
+    unregistered_labels,
 )
 
 
@@ -65,7 +65,9 @@ def test_labels_are_registered_once_per_kind(spark, store):
     register_labels(store, "edge", names.where("label = 'a'"))
     rows = sorted(tuple(r) for r in store.registry("labels").collect())
     assert rows == [("edge", "a"), ("vertex", "a"), ("vertex", "b")]
-    assert missing_labels(store, "edge", ["a", "b", "c", "b"]) == ["b", "c"]
+    asked = spark.createDataFrame([("a",), ("b",), ("c",), ("b",)], "label string")
+    missing = unregistered_labels(store, "edge", asked).collect()
+    assert sorted(r["label"] for r in missing) == ["b", "c"]
     with pytest.raises(NotRegisteredError, match="'b'"):
         require_labels(store, "edge", "a", "b")
 

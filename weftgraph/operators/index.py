@@ -51,8 +51,9 @@ def write_postings(
 ) -> dict[str, T.StructType]:
     """Writes the postings of these vertices for each indexed property.
 
-    Sorted by word or value, so that a lookup skips the stripes without it;
-    the id is part of the range key, so a frequent word is cut over files.
+    Each task sorts its own postings by word or value, so that a lookup skips
+    the stripes without it.  They are not shuffled: that would move more than
+    the texts themselves, and a frequent word would have to be cut up again.
     """
     schemas = {}
     for prop, kind in store.index_properties(index).items():
@@ -60,8 +61,7 @@ def write_postings(
             continue
         postings = postings_of(vertices, prop, kind)
         key = postings.columns[0]
-        postings.repartitionByRange(key, "_vid").sortWithinPartitions(key, "_vid").write.orc(
-            store.index_path(index, prop, load_id)
-        )
+        path = store.index_path(index, prop, load_id)
+        postings.sortWithinPartitions(key, "_vid").write.orc(path)
         schemas[prop] = postings.schema
     return schemas

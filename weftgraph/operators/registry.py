@@ -86,11 +86,16 @@ def register_properties(
     return statuses
 
 
+def unregistered_labels(store: GraphStore, kind: str, labels: DataFrame) -> DataFrame:
+    """Those of the labels (column ``label``) that the kind does not have."""
+    known = store.registry("labels").where(F.col("kind") == kind).select("label")
+    return labels.select("label").distinct().join(known, "label", "left_anti")
+
+
 def register_labels(store: GraphStore, kind: str, labels: DataFrame) -> None:
-    """Adds the labels (column ``label``) that the kind does not have yet."""
-    known = store.registry("labels").where(F.col("kind") == kind)
-    new = labels.select("label").distinct().join(known, "label", "left_anti")
-    store.add_to_registry("labels", [(kind, r["label"]) for r in new.collect()])
+    """Adds the labels that the kind does not have yet."""
+    new = unregistered_labels(store, kind, labels).withColumn("kind", F.lit(kind))
+    store.append_to_registry("labels", new)
 
 
 def register_label(store: GraphStore, kind: str, label: str) -> None:
@@ -134,12 +139,7 @@ def require_key_pairs(store: GraphStore, pairs: list[tuple[str, str]]) -> None:
         raise TypeConflictError(f"key types differ: {mismatched}")
 
 
-def missing_labels(store: GraphStore, kind: str, labels: list[str]) -> list[str]:
-    """Those of the labels that the kind does not have."""
-    return sorted(set(labels) - store.labels(kind))
-
-
 def require_labels(store: GraphStore, kind: str, *labels: str) -> None:
-    missing = missing_labels(store, kind, list(labels))
+    missing = sorted(set(labels) - store.labels(kind))
     if missing:
         raise NotRegisteredError(f"{kind} labels not registered: {missing}")

@@ -196,7 +196,9 @@ def load_vertices(
         numbered.write.orc(path)
     written = spark.read.schema(numbered.schema).orc(path)
     if not dense:
-        store.add_segments(load_id, written.select(segment_of(F.col("_vid")).alias("segment")))
+        segments = written.groupBy(segment_of(F.col("_vid")).alias("segment"))
+        sizes = segments.agg(F.count(F.lit(1)).alias("rows"))
+        store.append_to_registry("segments", sizes.withColumn("load_id", F.lit(load_id)))
     count, last_id = written.agg(F.count(F.lit(1)), F.max("_vid")).first()
     write_primary_key_map(primary_key_map(written, primary_key_column), primary_key_map_location)
 

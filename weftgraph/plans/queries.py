@@ -21,11 +21,11 @@ from weftgraph.operators.index import define_index, token_postings, value_postin
 from weftgraph.operators.lookup import vertices_by_id, vertices_by_property, vertices_by_text
 from weftgraph.operators.registry import (
     key_pairs,
-    missing_labels,
     register_labels,
     register_properties,
     property_statuses,
     schema_profile,
+    unregistered_labels,
     value_counts,
 )
 from weftgraph.operators.resolve import (
@@ -331,8 +331,7 @@ def edge_label_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_labels(store, "vertex", langs)
     types = table(spark, sf_dir, "events").select(F.col("event_type").alias("label"))
     asked = types.union(langs).groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"))
-    missing = missing_labels(store, "vertex", [r["label"] for r in asked.collect()])
-    return asked.where(F.col("label").isin(missing))
+    return asked.join(unregistered_labels(store, "vertex", asked), "label", "left_semi")
 
 
 # -- projections ---------------------------------------------------------------

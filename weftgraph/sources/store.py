@@ -83,16 +83,12 @@ class GraphStore:
             schema = T.StructType.fromDDL(REGISTRY[table])
             records = [dict(zip(schema.names, row)) for row in rows]
             local = pa.Table.from_pylist(records, to_arrow_schema(schema))
-            frame = self.spark.createDataFrame(local, schema).coalesce(1)
-            frame.write.mode("append").orc(f"{self.root}/registry/{table}")
-            self._rows.pop(table, None)
-
-    def add_segments(self, load_id: str, segments: DataFrame) -> None:
-        """Row count of each id segment; ``segments`` has one row per vertex."""
-        counted = segments.groupBy("segment").agg(F.count(F.lit(1)).alias("rows"))
-        counted.select(F.lit(load_id).alias("load_id"), "segment", "rows").write.mode(
-            "append"
-        ).orc(f"{self.root}/registry/segments")
+            self.append_to_registry(table, self.spark.createDataFrame(local, schema).coalesce(1))
+
+    def append_to_registry(self, table: str, frame: DataFrame) -> None:
+        names = T.StructType.fromDDL(REGISTRY[table]).names
+        frame.select(names).write.mode("append").orc(f"{self.root}/registry/{table}")
+        self._rows.pop(table, None)
 
     def property_types(self) -> dict[str, str]:
         return {r["name"]: r["property_type"] for r in self.rows("properties")}
