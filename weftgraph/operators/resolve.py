@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from weftgraph.functions.types import column, property_type
 from weftgraph.operators.ids import row_of, segment_of
 from weftgraph.operators.index import token_postings, value_postings
+from weftgraph.operators.pruning import only_wanted
 from weftgraph.operators.skew import hot_keys_of, salted_join
 from weftgraph.operators.textmatch import first_text_match
 from weftgraph.sources.shared import stage
@@ -67,8 +68,14 @@ def first_match(values: DataFrame) -> DataFrame:
 
 
 def first_exact_match(keys: DataFrame, values: DataFrame) -> DataFrame:
-    """(key, vid): lowest id whose property equals the key."""
-    return keys.join(first_match(values), F.col("key") == F.col("value")).select("key", "vid")
+    """(key, vid): lowest id whose property equals the key.
+
+    The keys of an edge load that its map does not have are few as a rule; then
+    only the values they ask for are grouped.
+    """
+    wanted = only_wanted(values, "value", keys.select("key"))
+    firsts = first_match(values if wanted is None else wanted)
+    return keys.join(firsts, F.col("key") == F.col("value")).select("key", "vid")
 
 
 def label_fallback(

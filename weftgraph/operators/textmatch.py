@@ -13,26 +13,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.functions.tokens import word_set
+from weftgraph.operators.pruning import only_wanted
 from weftgraph.operators.skew import grid_join, hot_keys, salted_join
-from weftgraph.sources.shared import fits_broadcast, stage
+from weftgraph.sources.shared import stage
 
 # Partitions one word's postings are dealt over before its frequency is known.
 WORD_SPLITS = 32
-# Bytes a word takes in a broadcast table beside its own.
-WORD_OVERHEAD = 40
 
 
 def _with_wanted_words(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     """Postings whose word is wanted.
 
-    If all wanted words fit the broadcast limit, the postings stay where they
-    are.  Else they are shuffled, each word dealt over several partitions, as
-    nothing is known yet about how frequent it is.
+    If there are too many words to leave the postings where they are, each word
+    is dealt over several partitions: nothing is known yet of how frequent it is.
     """
-    row_bytes = F.octet_length("token") + WORD_OVERHEAD
-    size = wanted.agg(F.sum(row_bytes)).first()[0] or 0
-    if fits_broadcast(postings.sparkSession, size):
-        return postings.join(F.broadcast(wanted), "token", "left_semi")
+    kept = only_wanted(postings, "token", wanted)
+    if kept is not None:
+        return kept
     salt = F.pmod(F.xxhash64("_vid"), WORD_SPLITS).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(WORD_SPLITS - 1))).alias("_wg_salt")
     return (

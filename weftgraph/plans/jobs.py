@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from weftgraph.errors import NotRegisteredError, UnresolvedEndpointError
 from weftgraph.functions.types import column, supported_projection
 from weftgraph.operators.ids import (
+    ROW_BITS,
     check_intervals,
     key_order_ids,
     next_segment,
@@ -195,15 +196,14 @@ def load_vertices(
         numbered = scan_ids(rows, first_id)
         numbered.write.orc(path)
     written = spark.read.schema(numbered.schema).orc(path)
-    if not dense:
-        segments = written.groupBy(segment_of(F.col("_vid")).alias("segment"))
-        sizes = segments.agg(F.count(F.lit(1)).alias("rows"))
-        store.append_to_registry("segments", sizes.withColumn("load_id", F.lit(load_id)))
-    count, last_id = written.agg(F.count(F.lit(1)), F.max("_vid")).first()
+    if dense:
+        count = written.count()
+        last_id = first_id + count - 1
+    else:
+        count, last_id = _add_segments(store, load_id, first_id, written)
     write_primary_key_map(primary_key_map(written, primary_key_column), primary_key_map_location)
 
     seq, fields = store.next_seq(), json.dumps(numbered.schema.jsonValue())
-    last_id = first_id - 1 if last_id is None else last_id
     loads = [("vertex", label, load_id, seq, first_id, last_id, count, dense, None, fields)]
     index = store.index_name(label)
     if store.index_properties(index):
@@ -213,6 +213,20 @@ def load_vertices(
     return _summary(label, load_id, count, 0, tx_commit_interval, graph_tx_commit_interval)
 
 
+def _add_segments(
+    store: GraphStore, load_id: str, first_id: int, written: DataFrame
+) -> tuple[int, int]:
+    """Registers the row count of each id segment; returns all rows and the last id."""
+    sizes = written.groupBy(segment_of(F.col("_vid")).alias("segment")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    store.append_to_registry("segments", sizes.withColumn("load_id", F.lit(load_id)))
+    registered = store.registry("segments").where(F.col("load_id") == load_id)
+    last = F.shiftleft(F.col("segment"), ROW_BITS) + F.col("rows") - 1
+    rows, last_id = registered.agg(F.sum("rows"), F.max(last)).first()
+    return rows or 0, first_id - 1 if last_id is None else last_id
+
+
 def load_edges(
     store: GraphStore,
     label: str,

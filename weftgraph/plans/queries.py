@@ -561,7 +561,9 @@ def fallback_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No map at all: keys found by property equality."""
     store = new_graph(spark)
     load_label(store, sf_dir, "Customer")
-    keys = key_counts(table(spark, sf_dir, "orders"), "o_custkey")
+    keys = stage(
+        key_counts(table(spark, sf_dir, "orders"), "o_custkey"), f"{store.root}/keys"
+    )
     return first_exact_match(keys, value_postings(store.vertices("Customer"), "c_custkey"))
 
 
