@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -281,8 +282,9 @@ def load_edges(
             return resolve_keys(store, key_counts(rows, key), pk_map, search, folder)
 
         # The sides are independent; tasks of one fill the cores the other leaves.
+        # The caller's job group and scheduler pool apply to both.
         with ThreadPoolExecutor(len(sides)) as pool:
-            ends = list(pool.map(resolve, sides))
+            ends = list(pool.map(inheritable_thread_target(spark)(resolve), sides))
         lost_a, lost_b = (e.lost for e in ends)
         if on_missing == "error" and (lost_a or lost_b):
             raise UnresolvedEndpointError(
