@@ -46,6 +46,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """(_id, _text, places of the lines that the row loses, in order)."""
     keys = _with_row_key(docs).select("_id", "_text", F.posexplode(_hashes(F.col("text"))).alias("_place", "_key"))
     keys = keys.where("_key is not null").select("_id", "_text", "_place", "_key.a", "_key.b")
+    keys = stage(keys, "line-keys")
     repeated = (
         keys.groupBy("a", "b")
         .agg(F.count_distinct("_id").alias("_documents"), F.max("_id").alias("_keeps"))
