@@ -1,0 +1,47 @@
+"""The corpus pipeline on a small table, stage by stage."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import corpus_pipeline as pipeline
+from tests.llm import plain
+from tests.llm.test_operators import DOCS, ODD, _check_packing
+from weftgraph.llm.common import importable, stage
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_stages_of_the_table(spark):
+    importable(spark)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    known, deduped, single, mixed, packed = (None,) * 5
+    out = []
+    for name, function in pipeline.STAGES:
+        docs = stage(function(spark, docs, SF_DIR), name)
+        out.append([r.asDict() for r in docs.collect()])
+    known, deduped, single, mixed, packed = out
+    source = duckdb.sql(f"SELECT doc_id FROM read_parquet('{SF_DIR}/documents.parquet')").fetchall()
+    assert len(known) >= 0.98 * len(source)
+    expected = plain.dedup_lines([(r["doc_id"], r["text"]) for r in known])
+    assert {r["doc_id"]: r["text"] for r in deduped} == {i: x[2] for i, x in expected.items()}
+    assert all(r["n_chars"] == len(r["text"]) for r in deduped)
+    groups = plain.jaccard_components([(r["doc_id"], r["text"]) for r in deduped])
+    assert sorted(r["doc_id"] for r in single) == sorted(i for i, (_, c) in groups.items() if i == c)
+    text = {r["doc_id"]: r["text"] for r in single}
+    assert all(r["text"] == text[r["doc_id"]] for r in mixed)
+    words = sum(len(plain.words(t)) for t in text.values())
+    assert sum(len(plain.words(r["text"])) for r in mixed) == pytest.approx(1.5 * words, rel=0.1)
+    _check_packing(packed, list(text.items()))
+    assert len(pipeline.run(spark, SF_DIR).collect()) == len(packed)
+
+
+def test_stages_of_odd_rows(spark):
+    importable(spark)
+    for rows in (ODD, []):
+        docs = spark.createDataFrame([(*r, 9, 9, "x") for r in rows], DOCS)
+        for name, function in pipeline.STAGES:
+            docs = stage(function(spark, docs, SF_DIR), name)
+            if name != "best_fit_packing":
+                assert docs.columns == [x.split()[0] for x in DOCS.split(", ")]
