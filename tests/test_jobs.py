@@ -371,3 +371,67 @@ def test_a_load_that_died_is_not_seen(spark, store, people):
     _load(store, "P", people, "id")
     people.write.orc(store.path("vertex", "P", "unfinished"))
     assert store.vertices("P").count() == 6
+
+
+def test_a_load_that_dies_gives_no_id_twice_and_leaves_the_old_map(spark, store, work, monkeypatch):
+    from weftgraph.plans import jobs
+
+    rows = spark.createDataFrame([("a x",), ("b x",)], "name string")
+    more = spark.createDataFrame([("c x",)], "name string")
+    jobs.init_vertex(store, "A", rows, ["name"])
+    jobs.load_vertices(store, "A", rows, "name", f"{work}/map", id_order="key")
+    before = sorted(map(tuple, spark.read.orc(f"{work}/map").collect()))
+
+    def broken(*args):
+        raise RuntimeError("injected")
+
+    for step in ("write_postings", "write_primary_key_map"):
+        with monkeypatch.context() as patch:
+            patch.setattr(jobs, step, broken)
+            with pytest.raises(RuntimeError, match="injected"):
+                jobs.load_vertices(store, "A", more, "name", f"{work}/map", id_order="key")
+        assert sorted(map(tuple, spark.read.orc(f"{work}/map").collect())) == before
+    store.refresh()
+    assert store.vertices("A").count() == 2
+    jobs.load_vertices(store, "A", more, "name", f"{work}/map", id_order="key")
+    store.refresh()
+    assert sorted(r["_vid"] for r in store.vertices("A").collect()) == [1, 2, 5]
+    assert [tuple(r) for r in spark.read.orc(f"{work}/map").collect()] == [("c x", 5)]
+
+
+def test_an_index_whose_build_died_is_not_used_and_is_built_on_repeat(spark, store, work, monkeypatch):
+    from weftgraph.operators.lookup import vertices_by_text
+    from weftgraph.plans import jobs
+
+    rows = spark.createDataFrame([("a x",), ("b x",)], "name string")
+    jobs.init_vertex(store, "A", rows)
+    jobs.load_vertices(store, "A", rows, "name", f"{work}/map")
+
+    def broken(*args):
+        raise RuntimeError("injected")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "write_postings", broken)
+        with pytest.raises(RuntimeError, match="injected"):
+            jobs.init_vertex(store, "A", rows, ["name"])
+    jobs.load_vertices(store, "A", rows.limit(1), "name", f"{work}/map")
+    store.refresh()
+    assert not store.index_complete(store.index_name("A"))
+    assert vertices_by_text(store, "A", "name", "x").count() == 3
+    jobs.init_vertex(store, "A", rows, ["name"])
+    store.refresh()
+    assert store.index_complete(store.index_name("A"))
+    assert vertices_by_text(store, "A", "name", "X!").count() == 3
+    assert vertices_by_text(store, "A", "name", "--").count() == 0
+
+
+def test_batches_are_exact_for_large_ordinals(spark):
+    from pyspark.sql import functions as F
+
+    from weftgraph.operators.ids import commit_batches
+
+    big = 2**60
+    rows = spark.createDataFrame([(big + i,) for i in range(1, 5)], "n bigint")
+    found = commit_batches(rows, F.col("n"), 1, 3).orderBy("n").collect()
+    assert [r["tx_batch"] for r in found] == [big + i for i in range(1, 5)]
+    assert [r["graph_batch"] for r in found] == [(big + i - 1) // 3 + 1 for i in range(1, 5)]

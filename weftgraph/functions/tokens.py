@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: everything that is neither letter nor number separates words.
@@ -19,11 +19,20 @@ def word_set(text: Column) -> Column:
     return F.sort_array(F.array_distinct(words(text)))
 
 
+def words_of_query(spark: SparkSession, query: str) -> list[str]:
+    """The word set of one query, computed once, so that scans see literals."""
+    return spark.range(1).select(word_set(F.lit(query)).alias("words")).first()["words"]
+
+
 def text_contains(text: Column, query: Column | str) -> Column:
     """True where every word of the query occurs in the text.
 
     A query without words matches nothing; a null text never matches.
     """
-    wanted = word_set(F.lit(query) if isinstance(query, str) else query)
+    if isinstance(query, str):
+        known = words_of_query(SparkSession.active(), query)
+        wanted = F.array(*map(F.lit, known)).cast("array<string>")
+    else:
+        wanted = word_set(query)
     missing = F.array_except(wanted, words(text))
     return F.coalesce((F.size(wanted) > 0) & (F.size(missing) == 0), F.lit(False))

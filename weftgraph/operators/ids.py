@@ -82,14 +82,19 @@ def check_intervals(tx_commit_interval: int, graph_tx_commit_interval: int) -> N
             raise ValueError(f"{name} must be an integer greater than 0, not {value!r}")
 
 
+def _whole(number: Column, interval: int) -> Column:
+    """Integer division; doubles would be off beyond 2^53."""
+    return F.call_function("div", number.cast("long"), F.lit(interval).cast("long"))
+
+
 def commit_batches(
     df: DataFrame, ordinal: Column, tx_commit_interval: int, graph_tx_commit_interval: int
 ) -> DataFrame:
     """Adds the transaction and graph-commit number of each element (1-based)."""
     check_intervals(tx_commit_interval, graph_tx_commit_interval)
-    tx = F.floor((ordinal - 1) / tx_commit_interval) + 1
+    tx = _whole(ordinal - 1, tx_commit_interval) + 1
     return df.withColumn("tx_batch", tx).withColumn(
-        "graph_batch", F.floor((F.col("tx_batch") - 1) / graph_tx_commit_interval) + 1
+        "graph_batch", _whole(F.col("tx_batch") - 1, graph_tx_commit_interval) + 1
     )
 
 
@@ -102,9 +107,9 @@ def commit_counts(
     always follows the full batches.
     """
     check_intervals(tx_commit_interval, graph_tx_commit_interval)
-    full = F.floor(F.col("elements") / tx_commit_interval)
+    full = _whole(F.col("elements"), tx_commit_interval)
     return elements.agg(F.count(F.lit(1)).alias("elements")).select(
         "elements",
         (full + 1).alias("tx_commits"),
-        (F.floor(full / graph_tx_commit_interval) + 1).alias("graph_commits"),
+        (_whole(full, graph_tx_commit_interval) + 1).alias("graph_commits"),
     )

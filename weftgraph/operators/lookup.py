@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.functions.tokens import text_contains, word_set
+from weftgraph.functions.tokens import text_contains, words_of_query
 from weftgraph.functions.types import column
 from weftgraph.operators.index import TEXT
 from weftgraph.sources.store import GraphStore
@@ -37,12 +37,12 @@ def vertices_by_text(
     postings = store.postings(index, prop) if indexed else None
     if postings is None:
         return vertices.where(text_contains(column(prop), query))
-    wanted = word_set(F.lit(query))
+    wanted = words_of_query(store.spark, query)
     hits = (
-        postings.where(F.array_contains(wanted, F.col("token")))
+        postings.where(F.col("token").isin(wanted))
         .groupBy("_vid")
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") == F.size(wanted))
+        .where(F.col("n") == len(wanted))
         .select("_vid")
     )
     return vertices.join(hits, "_vid", "left_semi")

@@ -45,7 +45,7 @@ from weftgraph.operators.resolve import (
     resolved_edges,
     unresolved_edges,
 )
-from weftgraph.sources.shared import new_dir, remove
+from weftgraph.sources.shared import new_dir, remove, replace
 from weftgraph.sources.store import GraphStore
 from weftgraph.sources.tables import (
     Source,
@@ -95,8 +95,10 @@ def init_vertex(
     register_label(store, "vertex", label)
     statuses = register_properties(store, schema, on_unsupported)
     columns = list(index_columns)
-    if columns and define_index(store, label, columns):
-        reindex(store, label)
+    if columns:
+        fresh = define_index(store, label, columns)
+        if fresh or not store.index_complete(store.index_name(label)):
+            reindex(store, label)
     return statuses
 
 
@@ -202,7 +204,9 @@ def load_vertices(
         last_id = first_id + count - 1
     else:
         count, last_id = _add_segments(store, load_id, first_id, written)
-    write_primary_key_map(primary_key_map(written, primary_key_column), primary_key_map_location)
+    # Whatever fails from here on, these ids are never given out again.
+    reserved = (load_id, store.next_seq(), first_id, last_id, count, dense, None, None)
+    store.add_to_registry("loads", [("reserved", label, *reserved)])
 
     seq, fields = store.next_seq(), json.dumps(numbered.schema.jsonValue())
     loads = [("vertex", label, load_id, seq, first_id, last_id, count, dense, None, fields)]
@@ -210,7 +214,11 @@ def load_vertices(
     if store.index_properties(index):
         schemas = write_postings(store, index, written, load_id)
         loads.append(_index_load(index, load_id, seq, schemas, False))
+    # The old map stays until the new one is whole and its vertices can be seen.
+    new_map = f"{primary_key_map_location.rstrip('/')}-{load_id}"
+    write_primary_key_map(primary_key_map(written, primary_key_column), new_map)
     store.add_to_registry("loads", loads)
+    replace(spark, new_map, primary_key_map_location)
     return _summary(label, load_id, count, 0, tx_commit_interval, graph_tx_commit_interval)
 
 

@@ -55,6 +55,15 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def replace(spark: SparkSession, new: str, old: str) -> None:
+    """Put the folder ``new`` in the place of ``old``."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"cannot move {new} to {old}")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -115,8 +115,9 @@ class GraphStore:
         return max((r["seq"] for r in self.rows("loads")), default=0) + 1
 
     def next_id(self) -> int:
-        """First id no vertex has yet; ids are unique across labels."""
-        return max((r["hi"] for r in self.loads("vertex")), default=0) + 1
+        """First id not given out yet, not even by a load that died; unique across labels."""
+        taken = [r["hi"] for kind in ("vertex", "reserved") for r in self.loads(kind)]
+        return max(taken, default=0) + 1
 
     def path(self, kind: str, label: str, load_id: str) -> str:
         folder = {"vertex": "vertices", "edge": "edges", "reject": "rejects"}[kind]
@@ -163,10 +164,29 @@ class GraphStore:
             union = union.unionByName(self.vertices(label), allowMissingColumns=True)
         return union
 
+    def index_complete(self, index: str) -> bool:
+        """Does the index cover every finished load of its label?
+
+        A full build covers the loads before it; each later load has its own postings.
+        """
+        builds = self.loads("index", index)
+        full = max((r["seq"] for r in builds if r["full"]), default=0)
+        own = {r["load_id"] for r in builds}
+        labels = {r["label"] for r in self.rows("indexes") if r["index"] == index}
+        return all(
+            r["seq"] < full or r["load_id"] in own
+            for r in self.loads("vertex")
+            if r["label"] in labels
+        )
+
     def postings(self, index: str, prop: str) -> DataFrame | None:
-        """Postings of the last full build and of the loads since."""
+        """Postings of the last full build and of the loads since.
+
+        None if the index does not cover all loads, say because its build died: the
+        vertices are searched then.
+        """
         loads = self.loads("index", index)
-        if not loads:
+        if not loads or not self.index_complete(index):
             return None
         start = max((i for i, r in enumerate(loads) if r["full"]), default=0)
         fields = [(r["load_id"], json.loads(r["fields"]).get(prop)) for r in loads[start:]]
