@@ -97,3 +97,14 @@ def test_intervals_must_be_positive_integers(bad):
         check_intervals(bad, 1)
     with pytest.raises(ValueError):
         check_intervals(1, bad)
+
+
+def test_repeated_keys_are_numbered_alike_however_the_source_is_split(spark, tmp_path):
+    rows = [(i % 2, f"t{i}") for i in range(80)]
+    df = spark.createDataFrame(rows, "k int, t string")
+    found = []
+    for n in (1, 3, 16):
+        numbered = key_order_ids(df.repartition(n), "k", 1, str(tmp_path / f"sorted{n}"))
+        found.append({r["t"]: r["_vid"] for r in numbered.collect()})
+    assert found[0] == found[1] == found[2]
+    assert sorted(found[0].values()) == list(range(1, 81))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from weftgraph import init_edge, init_vertex, load_edges, load_vertices, reindex
 from weftgraph.errors import (
     MissingColumnError,
+    NameConflictError,
     NotRegisteredError,
     TypeConflictError,
     UnresolvedEndpointError,
@@ -435,3 +436,54 @@ def test_batches_are_exact_for_large_ordinals(spark):
     found = commit_batches(rows, F.col("n"), 1, 3).orderBy("n").collect()
     assert [r["tx_batch"] for r in found] == [big + i for i in range(1, 5)]
     assert [r["graph_batch"] for r in found] == [(big + i - 1) // 3 + 1 for i in range(1, 5)]
+
+
+def test_dangling_among_ten_thousand_loads_of_both_orders(spark, store):
+    pairs = range(5000)
+    at = {i: (2 * i + 1) << 33 for i in pairs}
+    loads = []
+    for i in pairs:
+        scan = (f"s{i}", 2 * i + 1, at[i], at[i] + 9, 10, False, None, "{}")
+        dense = (f"d{i}", 2 * i + 2, at[i] + 20, at[i] + 29, 10, True, None, "{}")
+        loads += [("vertex", "A", *scan), ("vertex", "A", *dense)]
+    store.add_to_registry("loads", loads)
+    store.add_to_registry("segments", [(f"s{i}", 2 * i + 1, 10) for i in pairs])
+    offsets = {0: False, 9: False, 10: True, 19: True, 20: False, 29: False, 30: True, -1: True}
+    expected = {at[i] + o: lost for i in (0, 7, 4999) for o, lost in offsets.items()}
+    ids = spark.createDataFrame([(v,) for v in [*expected, None]], "vid bigint")
+    rows = mark_dangling(ids, store).collect()
+    assert {r["vid"]: r["dangling"] for r in rows} == {**expected, None: False}
+
+
+def test_dangling_in_ranges_over_several_segments(spark, store):
+    wide = (5, 3 << 33)
+    far = ((7 << 33) + 1, (7 << 33) + 4)
+    store.add_to_registry(
+        "loads",
+        [
+            ("vertex", "A", "one", 1, *wide, wide[1] - wide[0] + 1, True, None, "{}"),
+            ("vertex", "A", "two", 2, *far, 4, True, None, "{}"),
+        ],
+    )
+    lost = {4: True, 5: False, 2 << 33: False, 3 << 33: False, (3 << 33) + 1: True}
+    lost |= {7 << 33: True, far[0]: False, far[1]: False, far[1] + 1: True, -3: True}
+    ids = spark.createDataFrame([(v,) for v in lost], "vid bigint")
+    assert {r["vid"]: r["dangling"] for r in mark_dangling(ids, store).collect()} == lost
+
+
+def test_keys_without_an_id_are_dealt_out(spark, store, no_small_data_plans):
+    rows = [("vertex", "A", f"d{i}", i, 10 * i, 10 * i + 3, 4, True, None, "{}") for i in range(1, 4)]
+    store.add_to_registry("loads", rows)
+    ids = spark.range(4000).select(F.col("id").alias("key"), F.lit(None).cast("bigint").alias("vid"))
+    marked = mark_dangling(ids, store)
+    sizes = marked.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 1000 and marked.where("dangling").count() == 0
+
+
+def test_names_that_differ_in_case_are_refused_before_a_write(spark, store):
+    _load(store, "A", _frame(spark, [(1, "x")], "id bigint, name string"), "id")
+    with pytest.raises(NameConflictError):
+        _load(store, "A", _frame(spark, [(2, "y")], "id bigint, Name string"), "id")
+    assert [r["name"] for r in store.vertices("A").collect()] == ["x"]
+    _load(store, "B", _frame(spark, [(2, "y")], "id bigint, Name string"), "id")
+    assert [r["Name"] for r in store.vertices("B").collect()] == ["y"]

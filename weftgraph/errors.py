@@ -25,5 +25,9 @@ class TypeConflictError(LoadError):
     """A column's type differs from the registered property type."""
 
 
+class NameConflictError(LoadError):
+    """A label has a column whose name differs from the source's in case only."""
+
+
 class UnresolvedEndpointError(LoadError):
     """Some edge keys lead to no vertex and ``on_missing`` is ``error``."""

@@ -16,19 +16,21 @@ ROW_BITS = 33
 def key_order_ids(df: DataFrame, key: str, first_id: int, staging: str) -> DataFrame:
     """``_vid`` = first_id, first_id + 1, ... in the order of ``key``, nulls first.
 
-    Rows of the same key are numbered in scan order.  The scan position is
-    part of the range key, so a key that holds a third of the rows is cut like
-    any other stretch, and the sampled bounds are as narrow as the key.
+    Rows of the same key are ordered by a hash of the row, so they are numbered
+    alike however the source is split, and equal rows by scan position.  Both are
+    part of the range key, so a key that holds a third of the rows is cut like any
+    other stretch, and the sampled bounds are little wider than the key.
 
     The sorted rows are staged once: counting the partitions and numbering the
     rows must see the same cut.  What is broadcast has one row per partition.
     """
-    order = [column(key).asc_nulls_first(), F.col("_wg_pos").asc()]
+    order = [column(key).asc_nulls_first(), F.col("_wg_hash").asc(), F.col("_wg_pos").asc()]
+    row_hash = F.xxhash64(*[column(c) for c in df.columns])
     ranged = (
-        df.withColumn("_wg_pos", F.monotonically_increasing_id())
+        df.withColumns({"_wg_hash": row_hash, "_wg_pos": F.monotonically_increasing_id()})
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .drop("_wg_pos")
+        .drop("_wg_hash", "_wg_pos")
         .withColumn("_wg_row", F.monotonically_increasing_id())
     )
     staged = (

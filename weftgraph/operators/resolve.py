@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.functions.types import column, property_type
-from weftgraph.operators.ids import row_of, segment_of
+from weftgraph.operators.ids import ROW_BITS, segment_of
 from weftgraph.operators.index import token_postings, value_postings
 from weftgraph.operators.pruning import only_wanted
 from weftgraph.operators.skew import hot_keys_of, salted_join
@@ -118,24 +119,46 @@ def _id_ranges(loads: list) -> list[tuple[int, int]]:
     return merged
 
 
+def _id_spans(store: GraphStore, ranges: list[tuple[int, int]]) -> DataFrame:
+    """(segment, spans): the ids that exist in each id segment, as sorted (lo, hi)."""
+    parts = [
+        (segment, max(lo, segment << ROW_BITS), min(hi, ((segment + 1) << ROW_BITS) - 1))
+        for lo, hi in ranges
+        for segment in range(lo >> ROW_BITS, (hi >> ROW_BITS) + 1)
+    ]
+    names = ("segment", "lo", "hi")
+    local = pa.table({n: pa.array([p[i] for p in parts], pa.int64()) for i, n in enumerate(names)})
+    dense = store.spark.createDataFrame(local, "segment bigint, lo bigint, hi bigint")
+    scans = store.registry("loads").where("kind = 'vertex' and not dense").select("load_id")
+    first = F.shiftleft("segment", ROW_BITS)
+    scanned = store.registry("segments").join(scans, "load_id", "left_semi")
+    scanned = scanned.select("segment", first.alias("lo"), (first + F.col("rows") - 1).alias("hi"))
+    # A segment has one scan task, and the dense loads that lie in it.
+    spans = F.sort_array(F.collect_list(F.struct("lo", "hi")))
+    return dense.unionByName(scanned).groupBy("segment").agg(spans.alias("spans"))
+
+
 def mark_dangling(ids: DataFrame, store: GraphStore) -> DataFrame:
     """Adds ``dangling``: is there no vertex of this ``vid``?
 
     No vertex table is read.  Loads numbered in key order have every id of
     their range; for those numbered in scan order, an id exists if its row
     number is below the row count of its segment, one segment per scan task.
+    One range alone is compared with; more are a table joined by segment.  Rows
+    without an id match no segment and are dealt out by a hash of the row.
     """
-    loads = store.loads("vertex")
-    exists: Column = F.lit(False)
-    for lo, hi in _id_ranges(loads):
-        exists = exists | F.col("vid").between(lo, hi)
-    scanned = [r["load_id"] for r in loads if not r["dense"]]
-    if not scanned:
-        return ids.withColumn("dangling", F.col("vid").isNotNull() & ~exists)
-    segments = store.registry("segments").where(F.col("load_id").isin(scanned))
-    in_segment = F.coalesce(row_of(F.col("vid")) < F.col("rows"), F.lit(False))
-    return ids.join(segments, segment_of(F.col("vid")) == F.col("segment"), "left").select(
-        *ids.columns, (F.col("vid").isNotNull() & ~(exists | in_segment)).alias("dangling")
+    loads, vid = store.loads("vertex"), F.col("vid")
+    ranges = _id_ranges(loads)
+    if all(r["dense"] for r in loads) and len(ranges) <= 1:
+        exists = vid.between(*ranges[0]) if ranges else F.lit(False)
+        return ids.withColumn("dangling", vid.isNotNull() & ~exists)
+    spread = F.lit(-1) - F.pmod(F.xxhash64(*[column(c) for c in ids.columns]), F.lit(1 << 20))
+    segment = F.when(vid.isNotNull(), segment_of(vid)).otherwise(spread)
+    within = F.exists("spans", lambda s: vid.between(s["lo"], s["hi"]))
+    spans = _id_spans(store, ranges).withColumnRenamed("segment", "_wg_segment")
+    return ids.join(spans, segment == F.col("_wg_segment"), "left").select(
+        *[column(c) for c in ids.columns],
+        (vid.isNotNull() & ~F.coalesce(within, F.lit(False))).alias("dangling"),
     )
 
 
@@ -162,8 +185,7 @@ def resolve_keys(
     A key in the map is never searched for, even if its id is dangling, and the
     label of its vertex is not looked at.
     """
-    looked_up = stage(map_lookup(keys, pk_map), f"{work}/looked_up")
-    marked = mark_dangling(looked_up, store)
+    marked = stage(mark_dangling(map_lookup(keys, pk_map), store), f"{work}/looked_up")
     total, largest, missed, dangling = marked.agg(
         F.sum("n_edges"),
         F.max("n_edges"),
@@ -178,7 +200,7 @@ def resolve_keys(
     )
     lost = dangling
     if missed:
-        absent = looked_up.where(F.col("vid").isNull()).select("key", "n_edges")
+        absent = marked.where(F.col("vid").isNull()).select("key", "n_edges")
         found = fallback(absent.select("key"))
         if found is None:
             searched = absent.withColumn("vid", F.lit(None).cast("bigint"))
@@ -188,7 +210,7 @@ def resolve_keys(
         searched = stage(searched.withColumn("via", via), f"{work}/searched")
         lost += searched.where(F.col("vid").isNull()).count()
         table = table.unionByName(searched)
-    return Endpoints(table, hot_keys_of(looked_up, "key", "n_edges", total, largest), lost)
+    return Endpoints(table, hot_keys_of(marked, "key", "n_edges", total, largest), lost)
 
 
 def join_endpoints(
@@ -235,6 +257,22 @@ def resolved_edges(
     return join_endpoints(edges, sides, "inner")
 
 
+def attached_edges(
+    edges: DataFrame, key_a: str, key_b: str, ends_a: Endpoints, ends_b: Endpoints
+) -> DataFrame:
+    """All edge rows with ``_src`` and ``_dst``, or why there is none of them."""
+    unfound = F.when(F.col("vid").isNull(), F.col("via"))
+    sides = [
+        (
+            key,
+            ends.table.select("key", F.col("vid").alias(name), unfound.alias(f"{name}_reason")),
+            ends.hot,
+        )
+        for key, ends, name in ((key_a, ends_a, "_src"), (key_b, ends_b, "_dst"))
+    ]
+    return join_endpoints(edges, sides, "left")
+
+
 def unresolved_edges(
     edges: DataFrame, key_a: str, key_b: str, ends_a: Endpoints, ends_b: Endpoints
 ) -> DataFrame:

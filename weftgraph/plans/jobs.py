@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftgraph.errors import NotRegisteredError, UnresolvedEndpointError
+from weftgraph.errors import NameConflictError, NotRegisteredError, UnresolvedEndpointError
 from weftgraph.functions.types import column, supported_projection
 from weftgraph.operators.ids import (
     ROW_BITS,
@@ -38,14 +38,14 @@ from weftgraph.operators.registry import (
 )
 from weftgraph.operators.resolve import (
     Endpoints,
+    attached_edges,
     edges_with_keys,
     key_counts,
     label_fallback,
     resolve_keys,
     resolved_edges,
-    unresolved_edges,
 )
-from weftgraph.sources.shared import new_dir, remove, replace
+from weftgraph.sources.shared import new_dir, remove, replace, stage
 from weftgraph.sources.store import GraphStore
 from weftgraph.sources.tables import (
     Source,
@@ -145,7 +145,14 @@ def _index_load(
 
 
 def _like_earlier_loads(df: DataFrame, earlier: T.StructType) -> DataFrame:
-    """A label keeps one type per column, zoned or zone-less timestamps alike."""
+    """A label keeps one type per column, zoned or zone-less timestamps alike.
+
+    Names that differ in case only cannot be columns of one label.
+    """
+    stored = {f.name.lower(): f.name for f in earlier.fields}
+    clashes = [c for c in df.columns if stored.get(c.lower(), c) != c]
+    if clashes:
+        raise NameConflictError(f"the label has these names in another case: {clashes}")
     types = {f.name: f.dataType for f in earlier.fields}
     return df.select(
         [
@@ -300,10 +307,19 @@ def load_edges(
                 f"lead to no vertex; nothing was written"
             )
         keys = (edge_key_a, edge_key_b)
-        loads = [_write_load(store, "edge", label, load_id, resolved_edges(rows, *keys, *ends))]
         if lost_a or lost_b:
-            rejects = unresolved_edges(rows, *keys, *ends)
-            loads.append(_write_load(store, "reject", label, load_id, rejects))
+            # One join of the edges for both tables.
+            attached = stage(attached_edges(rows, *keys, *ends), f"{work}/attached")
+            found = F.col("_src").isNotNull() & F.col("_dst").isNotNull()
+            edges = attached.where(found).drop("_src_reason", "_dst_reason")
+            rejects = attached.where(~found).drop("_src", "_dst")
+            loads = [
+                _write_load(store, "edge", label, load_id, edges),
+                _write_load(store, "reject", label, load_id, rejects),
+            ]
+        else:
+            edges = resolved_edges(rows, *keys, *ends)
+            loads = [_write_load(store, "edge", label, load_id, edges)]
     finally:
         remove(spark, work)
     store.add_to_registry("loads", loads)
