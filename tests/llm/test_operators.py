@@ -219,6 +219,7 @@ def test_components_of_near_copies_and_odd_rows(spark, docs, none, monkeypatch):
             words[place] = f"e{i}x{place}"
         texts.append((i, " ".join(words)))
     monkeypatch.setattr(jaccard, "HELD_PAIRS", 500)
+    monkeypatch.setattr(jaccard, "CELL_DOCS", 40)
     df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
     _check_components(jaccard.join_components(df).collect(), texts)
     assert jaccard.join_components(none).count() == 0
