@@ -78,11 +78,11 @@ def dedup_substrings(docs, n=20):
     return out
 
 
-def jaccard_components(docs, percent=85):
+def jaccard_components(docs, percent=85, size=4):
     sets = {}
     for i, text in docs:
         w = words((text or "").translate(A_Z))
-        sets[i] = frozenset(tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))) if w else frozenset()
+        sets[i] = frozenset(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))) if w else frozenset()
     root = {i: i for i in sets}
 
     def find(x):

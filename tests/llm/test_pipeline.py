@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline as pipeline
 from tests.llm import plain
 from tests.llm.test_operators import DOCS, ODD, _check_packing
-from weftgraph.llm.common import importable, stage
+from weftgraph.llm.common import importable, stage, table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -45,3 +46,28 @@ def test_stages_of_odd_rows(spark):
             docs = stage(function(spark, docs, SF_DIR), name)
             if name != "best_fit_packing":
                 assert docs.columns == [x.split()[0] for x in DOCS.split(", ")]
+
+
+def test_near_copies_of_the_stage(spark):
+    importable(spark)
+    rng = np.random.default_rng(11)
+    texts = []
+    # 3, 4 and 5 isolated words of 200 replaced: five-word similarity 0.858, 0.815 and 0.774.
+    for i in range(0, 60, 2):
+        words = [f"a{i}x{x}" for x in rng.integers(0, 10**6, 200)]
+        changed = list(words)
+        for place in range(20, 20 + 30 * (3 + i // 2 % 3), 30):
+            changed[place] = f"b{i}x{place}"
+        texts += [(i, " ".join(words)), (i + 1, " ".join(changed))]
+    docs = spark.createDataFrame([(*t, "en", "a", 9, 9, 9, "x") for t in texts], DOCS).repartition(3)
+    kept = sorted(r["doc_id"] for r in pipeline.one_of_near_copies(spark, docs, SF_DIR).collect())
+    groups = plain.jaccard_components(texts, percent=80, size=5)
+    assert kept == sorted(i for i, (_, c) in groups.items() if i == c)
+    assert len(kept) == 30 + 10
+
+
+def test_near_copies_of_the_table(spark):
+    docs = table(spark, SF_DIR, "documents")
+    kept = sorted(r["doc_id"] for r in pipeline.one_of_near_copies(spark, docs, SF_DIR).collect())
+    groups = plain.jaccard_components([(r["doc_id"], r["text"]) for r in docs.collect()], percent=80, size=5)
+    assert kept == sorted(i for i, (_, c) in groups.items() if i == c)
