@@ -155,6 +155,28 @@ def test_outliers_and_odd_rows(spark, docs, none):
     assert [r["doc_id"] for r in judged if not r["kept"]] == [1000]
 
 
+def test_moderate_outliers_go_and_clean_documents_stay(spark):
+    rng = np.random.default_rng(5)
+
+    def prose(count, letters=(2, 9)):
+        return ["".join(rng.choice(list("etaoinshr"), rng.integers(*letters))) for _ in range(count)]
+
+    def in_lines(words):
+        return "\n".join(" ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+
+    rows = [(i, in_lines(prose(int(np.exp(rng.normal(5, 0.5))) + 20))) for i in range(400)]
+    block, other = " ".join(prose(12)), in_lines(prose(70)).split("\n")
+    # A quarter of the words repeated, 8 of 20 lines duplicates.
+    repeated = "\n".join([block, *[x for line in other[:8] for x in (line, "note")], *other[8:], block])
+    assert plain.base_statistics(repeated)[2:] == (0, 8, 24, False)
+    symbols = in_lines([w + "|" * (i % 2) for i, w in enumerate(prose(150))])
+    rows += [(1000, repeated), (1001, symbols), (1002, in_lines(prose(150, (6, 11))))]
+    df = spark.createDataFrame([(*r, "en", "a") for r in rows], "doc_id bigint, text string, lang string, source string")
+    kept = {r["doc_id"] for r in quality.judge(df.repartition(3)).collect() if r["kept"]}
+    assert not kept & {1000, 1001, 1002}
+    assert len(kept) >= 0.99 * 400
+
+
 # -- 5 ---------------------------------------------------------------------------------
 
 

@@ -27,13 +27,13 @@ MIN_WORDS, REPEAT_WINDOW, MOST_REPEATED = 20, 8, 30
 #: Share of a group that its estimate is made from, and the number of steps.
 CORE, STEPS = 0.75, 3
 MIN_GROUP = 50
-#: Squared distance beyond which a document is rejected: chi-square with four degrees
-#: of freedom at 1 - 1e-6, with room for the shape of real statistics.
-CUTOFF = 60.0
+#: Squared distance beyond which a document is rejected: the 0.999 quantile of chi-square
+#: with four degrees of freedom.
+CUTOFF = 18.47
 #: Squared distance within which 75 % of four-dimensional normal points lie, and the
 #: share of variance that remains in that part: the estimate is divided by it.
 SHRINKS = 0.62
-#: Least standard deviation of each transformed statistic.
+#: Least standard deviation of each transformed statistic, given those before it.
 LEAST = (0.5, 0.05, 0.05, 0.15)
 UNIT = 1000
 
@@ -120,10 +120,9 @@ def _estimate(rows: DataFrame, key: list[str]) -> DataFrame:
                  *[F.col(f"_q{i}{j}").cast("double").alias(f"_q{i}{j}") for i, j in _PAIRS])
     for i, j in _PAIRS:
         value = (F.col(f"_q{i}{j}") / F.col("_n") - F.col(f"_m{i}") * F.col(f"_m{j}")) / SHRINKS
-        value = value + (F.lit((LEAST[i] * UNIT) ** 2) if i == j else F.lit(0.0))
         for k in range(j):
             value = value - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
-        factor = F.sqrt(F.greatest(value, F.lit(1.0))) if i == j else value / F.col(f"_l{j}{j}")
+        factor = F.greatest(F.sqrt(F.greatest(value, F.lit(0.0))), F.lit(LEAST[i] * UNIT)) if i == j else value / F.col(f"_l{j}{j}")
         g = g.withColumn(f"_l{i}{j}", factor)
     return g.drop(*[f"_q{i}{j}" for i, j in _PAIRS])
 
