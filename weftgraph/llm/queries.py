@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import jaccard, language, lines, mixing, packing, pii, quality, substrings, topk, warc
+from weftgraph.llm import codebooks, jaccard, language, lines, mixing, packing, pii, quality, substrings, topk, warc
 from weftgraph.llm.common import stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,9 +61,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = codebooks.compress(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_language, op2_mixing, op3_lines, op4_quality, op5_warc, op6_substrings, op7_jaccard, op8_pii, op9_topk, op10_packing)
+    for f in (
+        op1_language, op2_mixing, op3_lines, op4_quality, op5_warc, op6_substrings, op7_jaccard,
+        op8_pii, op9_topk, op10_packing, op11_codebooks,
+    )
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -132,3 +140,45 @@ WITH v AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
 }
+
+
+def _codebooks_sql(rounds: int = codebooks.ROUNDS) -> str:
+    """The rounds one after the other; sums are divided downwards."""
+    steps = ""
+    for k in range(rounds + 1):
+        steps += f""", a{k} AS MATERIALIZED (
+  SELECT id, part, min(ROW(d, entry)) AS best FROM (
+    SELECT p.id, p.part, b.entry, CAST(list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM p JOIN b{k} b USING (part)) GROUP BY id, part
+)"""
+        if k < rounds:
+            steps += f""", n{k} AS MATERIALIZED (
+  SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS x FROM (
+    SELECT part, best[2] AS entry, place, sum(v) AS s, count(*) AS n FROM (
+      SELECT a.part, best, unnest(x) AS v, generate_subscripts(x, 1) AS place FROM a{k} a JOIN p USING (id, part)) GROUP BY ALL)
+  GROUP BY part, entry
+), b{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(n.x, b.x) AS x FROM b{k} b LEFT JOIN n{k} n USING (part, entry)
+)"""
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS id, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), p AS MATERIALIZED (
+  SELECT id, part, e[part * (len(e) // 8) + 1 : (part + 1) * (len(e) // 8)] AS x
+  FROM (SELECT *, unnest(range(8)) AS part FROM v)
+), b0 AS MATERIALIZED (
+  SELECT part, id - 1 AS entry, x FROM p WHERE id <= 16
+){steps}, h AS (
+  SELECT sha256(string_agg(v, ',' ORDER BY part, entry, place)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(x) AS v, generate_subscripts(x, 1) AS place FROM b{rounds})
+), c AS (
+  SELECT id, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM v JOIN c USING (id), h"""
+
+
+SQL["op11_codebooks"] = _codebooks_sql()
