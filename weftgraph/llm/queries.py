@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import codebooks, jaccard, language, lines, mixing, packing, pii, quality, substrings, topk, warc
+from weftgraph.llm import codebooks, jaccard, language, lines, mixing, packing, pii, quality, substrings, topk, trie, warc
 from weftgraph.llm.common import stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,11 +66,15 @@ def op11_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("arcs_to_end")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language, op2_mixing, op3_lines, op4_quality, op5_warc, op6_substrings, op7_jaccard,
-        op8_pii, op9_topk, op10_packing, op11_codebooks,
+        op8_pii, op9_topk, op10_packing, op11_codebooks, op12_trie,
     )
 }
 
@@ -182,3 +186,44 @@ FROM v JOIN c USING (id), h"""
 
 
 SQL["op11_codebooks"] = _codebooks_sql()
+
+# crc32 of a decimal number, bit by bit over the bytes of its text.
+_CRC32 = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ord(x)::UBIGINT)),
+    lambda r, x: list_reduce(list_prepend(xor(r, x), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+      lambda y, z: xor(y >> 1, (y & 1) * 3988292384::UBIGINT)))"""
+
+SQL["op12_trie"] = f"""
+WITH o AS MATERIALIZED (
+  SELECT conv_id AS c, coalesce(text, '') AS text, md5(coalesce(role, '') || chr(1) || coalesce(text, '')) AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS MATERIALIZED (
+  SELECT c, CAST(xor({_CRC32}, 4294967295::UBIGINT) % 9 AS BIGINT) AS h, c - c % 5 AS base FROM (SELECT DISTINCT c FROM o)
+), r AS (
+  SELECT c.c, 0 AS own, o.p, o.text, o.t FROM c JOIN o ON o.c = c.base AND o.p <= c.h
+  UNION ALL
+  SELECT c.c, 1, o.p, o.text, o.t FROM c JOIN o ON o.c = c.c AND o.p > c.h
+), s AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY own, p) AS depth FROM r
+), x AS MATERIALIZED (
+  SELECT c, depth, strlen(text) AS bytes, md5(string_agg(t, ',') OVER (PARTITION BY c ORDER BY depth)) AS node FROM s
+  UNION ALL
+  SELECT c, 0, 0, '' FROM c
+), n AS MATERIALIZED (
+  SELECT depth, node, min(c) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes FROM x GROUP BY depth, node
+), k AS MATERIALIZED (
+  SELECT n.*, u.node AS parent, u.conv_id AS parent_conv_id
+  FROM n LEFT JOIN x ON x.c = n.conv_id AND x.depth = n.depth - 1 LEFT JOIN n u ON u.depth = x.depth AND u.node = x.node
+), f AS MATERIALIZED (
+  SELECT k.*, coalesce(n_children, 0) AS n_children
+  FROM k LEFT JOIN (SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM k GROUP BY ALL) USING (depth, node)
+), b AS (
+  SELECT x.depth, x.node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * f.bytes) AS saved_tokens
+  FROM f JOIN x ON x.c = f.conv_id AND x.depth <= f.depth GROUP BY x.depth, x.node
+), e AS (
+  SELECT depth, node, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+  FROM (SELECT c, max(depth) AS depth, arg_max(node, depth) AS node FROM x GROUP BY c) GROUP BY depth, node
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM f JOIN b USING (depth, node) LEFT JOIN e USING (depth, node)"""
