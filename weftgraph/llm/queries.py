@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftgraph.llm import codebooks, jaccard, language, lines, mixing, packing, pii, quality, substrings, topk, trie, warc
+from weftgraph.llm import codebooks, jaccard, language, licenses, lines, mixing, packing, pii, quality, substrings, topk, trie, warc
 from weftgraph.llm.common import stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,11 +70,15 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("arcs_to_end")
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language, op2_mixing, op3_lines, op4_quality, op5_warc, op6_substrings, op7_jaccard,
-        op8_pii, op9_topk, op10_packing, op11_codebooks, op12_trie,
+        op8_pii, op9_topk, op10_packing, op11_codebooks, op12_trie, op13_licenses,
     )
 }
 
@@ -227,3 +231,63 @@ WITH o AS MATERIALIZED (
 SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
        CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
 FROM f JOIN b USING (depth, node) LEFT JOIN e USING (depth, node)"""
+
+_BASE_WORDS = [(label, len(p.split()), w, i) for p, label in licenses.BASE for i, w in enumerate(p.split())]
+_LABELS = [(t, label, len(keys)) for t, (label, _, keys) in enumerate(licenses.TEMPLATES)]
+
+SQL["op13_licenses"] = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{licenses.BETWEEN}'),
+    lambda w: w <> '') AS words FROM documents
+), post(template, word, place) AS (VALUES {licenses.values_list(licenses.POSTINGS)}
+), phr(template, phrase, length, word, place) AS (VALUES {licenses.values_list(licenses.key_phrases())}
+), base(label, length, word, place) AS (VALUES {licenses.values_list(_BASE_WORDS)}
+), labels(template, label, keys) AS (VALUES {licenses.values_list(_LABELS)}
+), l AS MATERIALIZED (
+  SELECT * FROM (SELECT row, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM d)
+  WHERE word IN (SELECT word FROM post UNION SELECT word FROM base)
+), own AS MATERIALIZED (
+  SELECT DISTINCT row, word FROM l
+), df AS (
+  SELECT word, count(*) AS n FROM own GROUP BY word
+), b AS MATERIALIZED (
+  SELECT row, label, pos - place AS start FROM l JOIN base USING (word) GROUP BY row, label, start, length HAVING count(*) = length
+), w AS (
+  SELECT DISTINCT template, word FROM phr
+), fit AS (
+  SELECT row, template FROM own JOIN w USING (word) GROUP BY row, template
+  HAVING count(*) = (SELECT count(*) FROM w u WHERE u.template = w.template)
+), t AS (
+  SELECT DISTINCT template, word FROM post
+), rare AS (
+  SELECT row, template, word FROM (
+    SELECT row, template, word, row_number() OVER (PARTITION BY row, template ORDER BY n, word) AS k
+    FROM fit JOIN t USING (template) JOIN own USING (row, word) JOIN df USING (word)) WHERE k <= {licenses.LOOKUPS}
+), g(g) AS (VALUES (0), (1)
+), m AS (
+  SELECT DISTINCT row, template, g, floor((pos - place + g * {licenses.WINDOW // 2}) / {licenses.WINDOW}.0) AS cell, word
+  FROM rare JOIN l USING (row, word) JOIN post USING (template, word), g
+), a AS (
+  SELECT row, template, g, cell, count(*) / any_value(least({licenses.LOOKUPS}, z.n)) AS share
+  FROM m JOIN (SELECT template, count(*) AS n FROM t GROUP BY template) z USING (template)
+  GROUP BY row, template, g, cell HAVING share >= {licenses.MIN_SHARE}
+), s AS (
+  SELECT row, template, phrase, pos - place AS shift FROM fit JOIN phr USING (template) JOIN l USING (row, word)
+  GROUP BY row, template, phrase, shift, length HAVING count(*) = length
+), c AS (
+  SELECT row, template, g, floor((shift + g * {licenses.WINDOW // 2}) / {licenses.WINDOW}.0) AS cell, count(DISTINCT phrase) AS n
+  FROM s, g GROUP BY ALL
+), f AS (
+  SELECT row, label, max(share) AS share FROM a JOIN c USING (row, template, g, cell) JOIN labels USING (template)
+  WHERE n = keys GROUP BY row, label
+), y AS (
+  SELECT row, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list_sort(list(DISTINCT label)) AS bases FROM b GROUP BY row
+), z AS (
+  SELECT row, list(label) AS added, max(share) AS best FROM f GROUP BY row
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(coalesce(bases, []), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(bases, []), coalesce(added, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0)::DOUBLE END AS score
+FROM d LEFT JOIN y USING (row) LEFT JOIN z USING (row)"""
