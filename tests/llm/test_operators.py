@@ -380,6 +380,32 @@ def test_packing_of_odd_rows(docs, none):
     assert packing.pack(none).count() == 0
 
 
+def test_ids_are_those_of_tokenizers():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    slow, fast = Tokenizer.from_file(path), packing._encoder(path)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f"x{end}", f"{end}x", f"{end} é {end}\n\n ", end.upper(), end[:-1], f"<|endof{end}text|>"]
+    for space in " \n\t\u3000":
+        texts += [f"a{space * n}b" for n in (1999, 2000, 10**6)]
+    texts += ["a" * 10**6, "1" * 10**6]
+    rng = np.random.default_rng(10)
+    parts = ["a", "the ", " ", "\n", "\t", "é", "中", "😀", "22", "'ll", "!", "<|", "|>", "endoftext", end, "\xa0", "\x00", "İ"]
+    texts += ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(10_000)]
+    assert all(fast(t) == slow.encode(t, add_special_tokens=False).ids for t in texts)
+
+
+def test_packing_of_copies_and_odd_tokens(spark):
+    rows = [(1, PROSE)] * 300 + [(None, PROSE)] * 100 + [(2, "a <|endoftext|> b"), (3, "a" + " " * 10**6 + "b")]
+    df = spark.createDataFrame([(*r, "en", "a", 9, 9, 9, "x") for r in rows], DOCS).repartition(4)
+    importable(spark)
+    found = packing.pack(df).collect()
+    _check_packing(found, [(i, t) for i, t in {(i, t): None for i, t in rows}])
+    assert sum(r["doc_id"] == 1 for r in found) == 300
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plans_hold_every_piece(seed):
     rng = np.random.default_rng(seed)

@@ -10,12 +10,15 @@ least room is left that holds them.  Pieces are ranked within their length, and
 rank finds the run, the sequence and the place.
 
 The plan has at most a few entries for each length, whatever the size of the corpus.
-Null and empty texts are documents of one token.  Repeated rows are packed each.
+Null and empty texts are documents of one token.  Repeated rows are packed each.  Names
+of added tokens in a text are these tokens, as ``tokenizers`` has it.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,6 +32,10 @@ from weftgraph.llm.common import slices, stage
 
 CAPACITY, END_ID = 1024, 2
 BATCH_BYTES = 4 << 20
+#: So much white space in a row is left to the library that needs no stack for it.
+_LONG_SPACE = re.compile(r"\s{2000}")
+#: Equal pieces are dealt over so many numbers, so that copies can be ranked in several tasks.
+SALTS = 1 << 12
 
 
 def vocabulary_path() -> str:
@@ -37,30 +44,65 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str):
-    """The tokenizer file's vocabulary and merges in the faster of the two BPE libraries.
+class _Encoder:
+    """Ids as ``tokenizers`` gives them for the file, mostly by the faster of two BPE libraries.
 
-    A byte-level BPE has the same ids in both: the merge ranks are the ids' order.  Names
-    of special tokens in a text are ordinary text.
+    A byte-level BPE has the same ids in both: the merge ranks are the ids' order.  The
+    file's added tokens are one id each wherever they stand.  A text with a long run of
+    white space, which the faster library cannot match, goes to ``tokenizers`` itself, and
+    so does every text if an added token has rules beyond its own string.
     """
-    import public_tokenizers
-    import tiktoken
 
-    ranks = path.removesuffix(".json") + ".tiktoken"
-    with open(ranks, "rb") as file:
-        merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding(
-        "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}
-    )
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path.removesuffix(".json") + ".tiktoken", "rb") as file:
+            merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+        with open(path, encoding="utf-8") as file:
+            added = json.load(file)["added_tokens"]
+        self._path, self._slow = path, None
+        rules = ("single_word", "lstrip", "rstrip", "normalized")
+        self._plain = not any(t[r] for t in added for r in rules)
+        self._added = {t["content"]: t["id"] for t in added}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._between = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if added else None
+        self._fast = tiktoken.Encoding(
+            "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}
+        ).encode_ordinary
+
+    def __call__(self, text: str) -> list[int]:
+        if not self._plain or _LONG_SPACE.search(text):
+            return self._by_tokenizers(text)
+        if not any(token in text for token in self._added):
+            return self._fast(text)
+        ids: list[int] = []
+        for n, part in enumerate(self._between.split(text)):
+            if n % 2:
+                ids.append(self._added[part])
+            else:
+                ids += self._fast(part)
+        return ids
+
+    def _by_tokenizers(self, text: str) -> list[int]:
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self._path)
+        return self._slow.encode(text, add_special_tokens=False).ids
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of every piece of every document."""
+    """(doc_id, piece, start, length, ids_crc32, salt) of every piece of every document."""
     path = path or vocabulary_path()
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path).encode_ordinary
+        encode, made = _encoder(path), 0
         for batch in slices(batches, "text", BATCH_BYTES):
             out: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -69,14 +111,15 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
                 cuts = [0, *range(first, len(ids) + 1, capacity)]
                 for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     out.append((doc, n, a, b - a, zlib.crc32(ids[a:b].tobytes())))
-            columns = list(zip(*out))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            columns = [*zip(*out), np.arange(made, made + len(out)) % SALTS]
+            made += len(out)
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "salt"],
             )
 
-    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+    schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, salt int"
     return docs.select("doc_id", "text").mapInArrow(per_batch, schema)
 
 
@@ -156,7 +199,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
     # Ranks in two steps, so that a frequent length is not in one task.
     total = cut.count()
     parts = max(1, int(total**0.5) // 4)
-    cut = cut.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
+    cut = cut.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.lit(parts)))
     sums = cut.groupBy("length", "_part").agg(F.count("*").alias("_n"))
     sums = stage(sums, "piece-counts")
     counts = {r["length"]: r["n"] for r in sums.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
@@ -169,7 +212,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
     base = sums.select("length", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     inside = Window.partitionBy("length", "_part").orderBy("doc_id", "piece", "ids_crc32", "start")
     ranked = cut.withColumn("_rank", F.row_number().over(inside) - 1).join(base, ["length", "_part"])
-    ranked = ranked.select(*cut.columns[:-1], (F.col("_rank") + F.col("_base")).alias("_rank"))
+    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("_rank") + F.col("_base")).alias("_rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
