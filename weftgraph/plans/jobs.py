@@ -45,7 +45,8 @@ from weftgraph.operators.resolve import (
     resolve_keys,
     resolved_edges,
 )
-from weftgraph.sources.shared import new_dir, remove, replace, stage
+from weftgraph.sources.keymaps import new_folder, publish, settle
+from weftgraph.sources.shared import new_dir, remove, stage
 from weftgraph.sources.store import GraphStore
 from weftgraph.sources.tables import (
     Source,
@@ -192,6 +193,7 @@ def load_vertices(
     require_registered(store, "vertex", label, raw.schema)
     rows = _like_earlier_loads(supported_projection(raw), store.element_schema("vertex", label))
 
+    _settle_map(store, primary_key_map_location, drop_others=True)
     load_id, first_id, dense = uuid.uuid4().hex, store.next_id(), id_order == "key"
     path = store.path("vertex", label, load_id)
     if dense:
@@ -222,13 +224,20 @@ def load_vertices(
         schemas = write_postings(store, index, written, load_id)
         loads.append(_index_load(index, load_id, seq, schemas, False))
     # The old map stays until the new one is whole and its vertices can be seen.
-    new_map = f"{primary_key_map_location.rstrip('/')}-{load_id}"
+    new_map = new_folder(primary_key_map_location, load_id)
     write_primary_key_map(primary_key_map(written, primary_key_column), new_map)
     store.add_to_registry("loads", loads)
-    replace(spark, new_map, primary_key_map_location)
+    publish(spark, primary_key_map_location, load_id)
     return _summary(label, load_id, count, 0, tx_commit_interval, graph_tx_commit_interval)
 
 
+def _settle_map(store: GraphStore, location: Source, drop_others: bool = False) -> None:
+    """Finishes what a job that died left undone at the location of a map."""
+    if isinstance(location, str):
+        loads = [r["load_id"] for r in store.loads("vertex")]
+        settle(store.spark, location, loads, drop_others)
+
+
 def _add_segments(
     store: GraphStore, load_id: str, first_id: int, written: DataFrame
 ) -> tuple[int, int]:
@@ -283,6 +292,8 @@ def load_edges(
 
     rows = edges_with_keys(supported_projection(raw), edge_key_a, edge_key_b)
     rows = _like_earlier_loads(rows, store.element_schema("edge", label))
+    for saved in (map_a, map_b):
+        _settle_map(store, saved)
     load_id, work = uuid.uuid4().hex, new_dir(spark, "load-edges")
     try:
         sides = [

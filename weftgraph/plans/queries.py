@@ -43,9 +43,10 @@ from weftgraph.operators.resolve import (
 )
 from weftgraph.operators.skew import hot_keys
 from weftgraph.plans.jobs import init_edge, init_vertex, load_edges, load_vertices, reindex
+from weftgraph.sources.keymaps import current_folder, new_folder
 from weftgraph.sources.shared import new_dir, stage
 from weftgraph.sources.store import GraphStore
-from weftgraph.sources.tables import read_primary_key_map, scan
+from weftgraph.sources.tables import read_primary_key_map, scan, write_primary_key_map
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,6 +167,26 @@ def pk_map_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, map_path(store, "Order"))
 
 
+@query("map_after_failed_swap", f"""
+    SELECT o.o_orderkey, c._vid AS _src
+    FROM orders o JOIN {vid_sql('Customer', ('Customer', 'Order'))} c ON c.c_custkey = o.o_custkey""")
+def map_after_failed_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers are loaded again, but the job dies before their map is current.
+
+    Its vertices are registered, so the edge load finishes the swap and uses their map.
+    """
+    store = new_graph(spark)
+    load_label(store, sf_dir, "Customer")
+    load_label(store, sf_dir, "Order")
+    customers, current = table(spark, sf_dir, "customer"), map_path(store, "Customer")
+    again = load_vertices(store, "Customer", customers, "c_custkey", f"{current}-again", id_order="key")
+    # What such a job leaves: a whole map in waiting at the location, and no version of it.
+    written = scan(spark, current_folder(spark, f"{current}-again"))
+    write_primary_key_map(written, new_folder(current, again.load_id))
+    load_placed(store, sf_dir)
+    return store.edges("PLACED").select("o_orderkey", "_src")
+
+
 @query("pk_map_dedupe", f"SELECT o_custkey AS key, max(_vid) AS vid FROM {vid_sql('Order')} GROUP BY o_custkey")
 def pk_map_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A map whose key repeats: customer of each order -> order."""

@@ -51,19 +51,38 @@ def fits_broadcast(spark: SparkSession, table_bytes: int) -> bool:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder this process made."""
+    target, files = _files(spark, path)
+    files.delete(target, True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The path and its file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def replace(spark: SparkSession, new: str, old: str) -> None:
-    """Put the folder ``new`` in the place of ``old``."""
-    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(target, True)
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder; nothing may be at ``new``."""
+    (source, files), (target, _) = _files(spark, old), _files(spark, new)
     if not files.rename(source, target):
-        raise OSError(f"cannot move {new} to {old}")
+        raise OSError(f"cannot move {old} to {new}")
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """Create an empty file and its folders; in one step, and never over another file."""
+    target, files = _files(spark, path)
+    if not files.createNewFile(target):
+        raise FileExistsError(path)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, none if there is no such folder."""
+    target, files = _files(spark, path)
+    if not files.exists(target):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(target)]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    target, files = _files(spark, path)
+    return files.exists(target)

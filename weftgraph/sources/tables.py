@@ -14,6 +14,7 @@ from weftgraph.functions.types import (
     property_column,
     property_type,
 )
+from weftgraph.sources.keymaps import current_folder
 
 Source = str | DataFrame
 
@@ -50,8 +51,11 @@ def write_primary_key_map(pk_map: DataFrame, path: str) -> None:
 
 
 def read_primary_key_map(spark: SparkSession, source: Source) -> DataFrame:
-    """(key, vid), taken by position: whatever the two columns are called."""
-    raw = scan(spark, source)
+    """(key, vid), taken by position: whatever the two columns are called.
+
+    At a path this is the current map there, see :mod:`weftgraph.sources.keymaps`.
+    """
+    raw = scan(spark, current_folder(spark, source) if isinstance(source, str) else source)
     if len(raw.columns) < 2 or not isinstance(raw.schema.fields[1].dataType, T.LongType):
         raise UnsupportedTypeError("a primary-key map holds (key, bigint id), in this order")
     first, second = raw.schema.fields[:2]
