@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+from typing import TYPE_CHECKING
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftgraph.functions.types import column
-from weftgraph.sources.shared import stage
+from weftgraph.sources.shared import fits_broadcast, stage
+
+if TYPE_CHECKING:
+    from weftgraph.sources.store import GraphStore
 
 # Fixed value: monotonically_increasing_id() keeps the row's number within its
 # partition in the lower 33 bits and the partition's number above them.
 ROW_BITS = 33
+# Bytes that a segment's row count takes in a broadcast table.
+SEGMENT_BYTES = 64
+# Graph commits of a load that are listed at once.
+COMMITS_AT_ONCE = 1 << 16
 
 
 def key_order_ids(df: DataFrame, key: str, first_id: int, staging: str) -> DataFrame:
@@ -70,6 +81,10 @@ def segment_of(vid: Column) -> Column:
     return F.shiftright(vid, ROW_BITS)
 
 
+def segment_of_id(vid: int) -> int:
+    return vid >> ROW_BITS
+
+
 def row_of(vid: Column) -> Column:
     """Row number within the segment, from 0."""
     return vid.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
@@ -100,6 +115,55 @@ def commit_batches(
     )
 
 
+def load_ordinals(store: GraphStore, load: Row) -> DataFrame:
+    """Vertices of one load with their ``ordinal``, from 1 in the order of their ids.
+
+    A load in key order has ids without gaps.  One in scan order has a segment for each scan
+    task, and an ordinal is the rows of earlier segments and the row within its own.
+    """
+    schema = T.StructType.fromJson(json.loads(load["fields"]))
+    path = store.path("vertex", load["label"], load["load_id"])
+    vertices, vid = store.spark.read.schema(schema).orc(path), F.col("_vid")
+    if load["dense"]:
+        return vertices.withColumn("ordinal", vid - F.lit(load["lo"]) + 1)
+    segments = store.registry("segments").where(F.col("load_id") == load["load_id"])
+    # One row for each scan task of the load.
+    earlier = Window.partitionBy("load_id").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    before = segments.select(
+        F.col("segment").alias("_wg_segment"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_wg_before")
+    )
+    size = SEGMENT_BYTES * (segment_of_id(load["hi"]) - segment_of_id(load["lo"]) + 1)
+    if fits_broadcast(store.spark, size):
+        before = F.broadcast(before)
+    joined = vertices.join(before, segment_of(vid) == F.col("_wg_segment"))
+    return joined.withColumn("ordinal", F.col("_wg_before") + row_of(vid) + 1).drop("_wg_segment", "_wg_before")
+
+
+def graph_commits(loads: DataFrame) -> DataFrame:
+    """(load_id, graph_batch, first_tx, last_tx, elements): the graph commits of each load.
+
+    Follows from the row counts.  The last commit of a load may hold nothing.  Batches are
+    spread in two steps, so that a long load makes no long array.
+    """
+    tx, graph = F.coalesce("tx_interval", F.lit(1000)), F.coalesce("graph_interval", F.lit(1))
+    div = lambda a, b: F.call_function("div", a, b)
+    full = div(F.col("rows"), F.col("tx"))
+    known = loads.select("load_id", "rows", tx.alias("tx"), graph.alias("graph")).withColumn("last", div(full, F.col("graph")))
+    step = F.lit(COMMITS_AT_ONCE).cast("long")
+    starts = F.sequence(F.lit(0).cast("long"), F.col("last"), step)
+    parts = known.withColumn("start", F.explode(starts)).repartition("load_id", "start")
+    numbers = F.sequence(F.col("start"), F.least(F.col("last"), F.col("start") + step - 1))
+    commits = parts.withColumn("n", F.explode(numbers))
+    first, size = F.col("n") * F.col("graph"), F.col("graph") * F.col("tx")
+    return commits.select(
+        "load_id",
+        (F.col("n") + 1).alias("graph_batch"),
+        (first + 1).alias("first_tx"),
+        F.least(first + F.col("graph"), full + 1).alias("last_tx"),
+        F.least(size, F.col("rows") - F.col("n") * size).alias("elements"),
+    )
+
+
 def commit_counts(
     elements: DataFrame, tx_commit_interval: int, graph_tx_commit_interval: int
 ) -> DataFrame:

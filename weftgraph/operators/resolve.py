@@ -11,12 +11,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.functions.types import column, property_type
-from weftgraph.operators.ids import ROW_BITS, segment_of
+from weftgraph.operators.ids import ROW_BITS
 from weftgraph.operators.index import token_postings, value_postings
 from weftgraph.operators.pruning import only_wanted
 from weftgraph.operators.skew import hot_keys_of, salted_join
@@ -24,6 +24,9 @@ from weftgraph.operators.textmatch import first_text_match
 from weftgraph.sources.shared import stage
 from weftgraph.sources.store import GraphStore
 
+#: Slabs of ids for each shuffle partition.
+SLABS = 16
+
 Fallback = Callable[[DataFrame], DataFrame | None]
 
 
@@ -120,46 +123,67 @@ def _id_ranges(loads: list) -> list[tuple[int, int]]:
 
 
 def _id_spans(store: GraphStore, ranges: list[tuple[int, int]]) -> DataFrame:
-    """(segment, spans): the ids that exist in each id segment, as sorted (lo, hi)."""
-    parts = [
-        (segment, max(lo, segment << ROW_BITS), min(hi, ((segment + 1) << ROW_BITS) - 1))
-        for lo, hi in ranges
-        for segment in range(lo >> ROW_BITS, (hi >> ROW_BITS) + 1)
-    ]
-    names = ("segment", "lo", "hi")
-    local = pa.table({n: pa.array([p[i] for p in parts], pa.int64()) for i, n in enumerate(names)})
-    dense = store.spark.createDataFrame(local, "segment bigint, lo bigint, hi bigint")
+    """(lo, hi) of the ids that exist: dense loads, and a span for each scan task."""
+    bounds = {n: pa.array([r[i] for r in ranges], pa.int64()) for i, n in enumerate(("lo", "hi"))}
+    dense = store.spark.createDataFrame(pa.table(bounds), "lo bigint, hi bigint")
     scans = store.registry("loads").where("kind = 'vertex' and not dense").select("load_id")
+    scanned = store.registry("segments").join(scans, "load_id", "left_semi").where("rows > 0")
     first = F.shiftleft("segment", ROW_BITS)
-    scanned = store.registry("segments").join(scans, "load_id", "left_semi")
-    scanned = scanned.select("segment", first.alias("lo"), (first + F.col("rows") - 1).alias("hi"))
-    # A segment has one scan task, and the dense loads that lie in it.
-    spans = F.sort_array(F.collect_list(F.struct("lo", "hi")))
-    return dense.unionByName(scanned).groupBy("segment").agg(spans.alias("spans"))
+    return dense.unionByName(scanned.select(first.alias("lo"), (first + F.col("rows") - 1).alias("hi")))
+
+
+def _slab_bits(ids: int, partitions: int) -> int:
+    """Ids are cut into slabs of 2^bits numbers, about this many for each partition."""
+    return max(0, (ids // (SLABS * partitions)).bit_length())
+
+
+def in_spans(df: DataFrame, value: Column, spans: DataFrame, ids: int, name: str) -> DataFrame:
+    """Adds ``name``: is the value within one of the spans (lo, hi), which do not overlap?
+
+    Both sides are cut into slabs of equal width, so that no slab has more than a small share
+    of the ``ids`` that exist, and joined by slab.  A span is repeated in each slab it reaches
+    into.  In a slab the last span that starts at or before the value is found by bisection.
+    Rows without a value are dealt out by a hash of the row.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = _slab_bits(ids, partitions)
+    slab = lambda c: F.shiftright(c, bits)
+    cut = spans.select("lo", "hi", F.explode(F.sequence(slab(F.col("lo")), slab(F.col("hi")))).alias("_wg_slab"))
+    start = F.shiftleft("_wg_slab", bits)
+    cut = cut.select("_wg_slab", F.greatest("lo", start).alias("lo"), F.least("hi", start + (1 << bits) - 1).alias("hi"))
+    # As long as the number of loads and scan tasks that reach into one slab.
+    slabs = cut.groupBy("_wg_slab").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("_wg_spans"))
+    # Steps of the bisection: the powers of two below the number of spans, falling.
+    last = F.floor(F.log2(F.size("_wg_spans").cast("double"))).cast("int")
+    slabs = slabs.withColumn("_wg_steps", F.transform(F.sequence(last, F.lit(0), F.lit(-1)), lambda k: F.call_function("shiftleft", F.lit(1), k)))
+    spread = F.lit(-1) - F.pmod(F.xxhash64(*[column(c) for c in df.columns]), F.lit(1 << 20))
+    keyed = df.withColumn("_wg_key", F.when(value.isNotNull(), slab(value)).otherwise(spread))
+    joined = keyed.join(slabs, F.col("_wg_key") == F.col("_wg_slab"), "left")
+
+    def step(at: Column, size: Column) -> Column:
+        ahead = at + size
+        starts = F.get("_wg_spans", ahead - 1)["lo"]
+        return F.when((ahead <= F.size("_wg_spans")) & (starts <= value), ahead).otherwise(at)
+
+    before = F.aggregate("_wg_steps", F.lit(0), step)  # spans that start at or before the value
+    within = (before > 0) & (value <= F.get("_wg_spans", before - 1)["hi"])
+    return joined.select(*[column(c) for c in df.columns], F.coalesce(within, F.lit(False)).alias(name))
 
 
 def mark_dangling(ids: DataFrame, store: GraphStore) -> DataFrame:
     """Adds ``dangling``: is there no vertex of this ``vid``?
 
-    No vertex table is read.  Loads numbered in key order have every id of
-    their range; for those numbered in scan order, an id exists if its row
-    number is below the row count of its segment, one segment per scan task.
-    One range alone is compared with; more are a table joined by segment.  Rows
-    without an id match no segment and are dealt out by a hash of the row.
+    No vertex table is read.  Loads numbered in key order have every id of their range, and
+    scan tasks the first ids of their segments.  One range alone is compared with; more are
+    looked up in slabs.
     """
     loads, vid = store.loads("vertex"), F.col("vid")
     ranges = _id_ranges(loads)
     if all(r["dense"] for r in loads) and len(ranges) <= 1:
         exists = vid.between(*ranges[0]) if ranges else F.lit(False)
         return ids.withColumn("dangling", vid.isNotNull() & ~exists)
-    spread = F.lit(-1) - F.pmod(F.xxhash64(*[column(c) for c in ids.columns]), F.lit(1 << 20))
-    segment = F.when(vid.isNotNull(), segment_of(vid)).otherwise(spread)
-    within = F.exists("spans", lambda s: vid.between(s["lo"], s["hi"]))
-    spans = _id_spans(store, ranges).withColumnRenamed("segment", "_wg_segment")
-    return ids.join(spans, segment == F.col("_wg_segment"), "left").select(
-        *[column(c) for c in ids.columns],
-        (vid.isNotNull() & ~F.coalesce(within, F.lit(False))).alias("dangling"),
-    )
+    known = in_spans(ids, vid, _id_spans(store, ranges), sum(r["rows"] for r in loads), "_wg_known")
+    return known.select(*[column(c) for c in ids.columns], (vid.isNotNull() & ~F.col("_wg_known")).alias("dangling"))
 
 
 @dataclass(frozen=True)

@@ -22,7 +22,10 @@ from weftgraph.functions.types import column, supported_projection
 from weftgraph.operators.ids import (
     ROW_BITS,
     check_intervals,
+    commit_batches,
+    graph_commits,
     key_order_ids,
+    load_ordinals,
     next_segment,
     scan_ids,
     segment_of,
@@ -46,7 +49,7 @@ from weftgraph.operators.resolve import (
     resolved_edges,
 )
 from weftgraph.sources.keymaps import new_folder, publish, settle
-from weftgraph.sources.shared import new_dir, remove, stage
+from weftgraph.sources.shared import new_dir, remove, stage, write_counted
 from weftgraph.sources.store import GraphStore
 from weftgraph.sources.tables import (
     Source,
@@ -200,7 +203,7 @@ def load_vertices(
         work = new_dir(spark, "load-vertices")
         try:
             numbered = key_order_ids(rows, primary_key_column, first_id, f"{work}/sorted")
-            numbered.write.orc(path)
+            count = write_counted(numbered, path)
         finally:
             remove(spark, work)
     else:
@@ -209,7 +212,6 @@ def load_vertices(
         numbered.write.orc(path)
     written = spark.read.schema(numbered.schema).orc(path)
     if dense:
-        count = written.count()
         last_id = first_id + count - 1
     else:
         count, last_id = _add_segments(store, load_id, first_id, written)
@@ -218,7 +220,8 @@ def load_vertices(
     store.add_to_registry("loads", [("reserved", label, *reserved)])
 
     seq, fields = store.next_seq(), json.dumps(numbered.schema.jsonValue())
-    loads = [("vertex", label, load_id, seq, first_id, last_id, count, dense, None, fields)]
+    intervals = (tx_commit_interval, graph_tx_commit_interval)
+    loads = [("vertex", label, load_id, seq, first_id, last_id, count, dense, None, fields, *intervals)]
     index = store.index_name(label)
     if store.index_properties(index):
         schemas = write_postings(store, index, written, load_id)
@@ -294,6 +297,7 @@ def load_edges(
     rows = _like_earlier_loads(rows, store.element_schema("edge", label))
     for saved in (map_a, map_b):
         _settle_map(store, saved)
+    intervals = (tx_commit_interval, graph_tx_commit_interval)
     load_id, work = uuid.uuid4().hex, new_dir(spark, "load-edges")
     try:
         sides = [
@@ -325,12 +329,12 @@ def load_edges(
             edges = attached.where(found).drop("_src_reason", "_dst_reason")
             rejects = attached.where(~found).drop("_src", "_dst")
             loads = [
-                _write_load(store, "edge", label, load_id, edges),
-                _write_load(store, "reject", label, load_id, rejects),
+                _write_load(store, "edge", label, load_id, edges, intervals),
+                _write_load(store, "reject", label, load_id, rejects, intervals),
             ]
         else:
             edges = resolved_edges(rows, *keys, *ends)
-            loads = [_write_load(store, "edge", label, load_id, edges)]
+            loads = [_write_load(store, "edge", label, load_id, edges, intervals)]
     finally:
         remove(spark, work)
     store.add_to_registry("loads", loads)
@@ -346,10 +350,32 @@ def load_edges(
 
 
 def _write_load(
-    store: GraphStore, kind: str, label: str, load_id: str, df: DataFrame
+    store: GraphStore, kind: str, label: str, load_id: str, df: DataFrame, intervals: tuple[int, int]
 ) -> tuple:
-    path = store.path(kind, label, load_id)
-    df.write.orc(path)
-    count = store.spark.read.schema(df.schema).orc(path).count()
+    count = write_counted(df, store.path(kind, label, load_id))
     fields = json.dumps(df.schema.jsonValue())
-    return (kind, label, load_id, store.next_seq(), None, None, count, None, None, fields)
+    return (kind, label, load_id, store.next_seq(), None, None, count, None, None, fields, *intervals)
+
+
+def vertex_batches(store: GraphStore, label: str, load_id: str | None = None) -> DataFrame:
+    """Vertices of the label with ``load_id``, ``ordinal``, ``tx_batch`` and ``graph_batch``.
+
+    Each load counts its own elements, in the order of their ids, and has the intervals that
+    it was given.
+    """
+    store.refresh()
+    found = None
+    for load in store.loads("vertex", label):
+        if load_id in (None, load["load_id"]):
+            numbered = load_ordinals(store, load).withColumn("load_id", F.lit(load["load_id"]))
+            batches = commit_batches(numbered, F.col("ordinal"), load["tx_interval"] or 1000, load["graph_interval"] or 1)
+            found = batches if found is None else found.unionByName(batches, allowMissingColumns=True)
+    if found is None:
+        raise NotRegisteredError(f"no such load of {label!r}")
+    return found
+
+
+def commit_log(store: GraphStore, kind: str, label: str) -> DataFrame:
+    """One row for each graph commit of the label's loads, and the elements it made durable."""
+    store.refresh()
+    return graph_commits(store.registry("loads").where((F.col("kind") == kind) & (F.col("label") == label)))

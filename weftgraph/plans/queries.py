@@ -42,7 +42,15 @@ from weftgraph.operators.resolve import (
     resolve_keys,
 )
 from weftgraph.operators.skew import hot_keys
-from weftgraph.plans.jobs import init_edge, init_vertex, load_edges, load_vertices, reindex
+from weftgraph.plans.jobs import (
+    commit_log,
+    init_edge,
+    init_vertex,
+    load_edges,
+    load_vertices,
+    reindex,
+    vertex_batches,
+)
 from weftgraph.sources.keymaps import current_folder, new_folder
 from weftgraph.sources.shared import new_dir, stage
 from weftgraph.sources.store import GraphStore
@@ -448,6 +456,66 @@ def commit_batch_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.select("o_orderkey", "tx_batch", "graph_batch")
 
 
+@query("commit_batches_scan", """
+    SELECT n // 1000 + 1 AS tx_batch, n // 4000 + 1 AS graph_batch, count(*) AS elements,
+           min(n) + 1 AS first_ordinal, max(n) + 1 AS last_ordinal
+    FROM (SELECT row_number() OVER () - 1 AS n FROM orders) GROUP BY ALL""")
+def commit_batches_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each batch of a load in scan order holds; its ids have gaps, its ordinals none."""
+    store = new_graph(spark)
+    load_label(store, sf_dir, "Customer", id_order="scan")
+    orders = table(spark, sf_dir, "orders").repartition(7)
+    init_vertex(store, "Order", orders)
+    saved = map_path(store, "Order")
+    load_vertices(
+        store, "Order", orders, "o_orderkey", saved, tx_commit_interval=1000, graph_tx_commit_interval=4
+    )
+    return vertex_batches(store, "Order").groupBy("tx_batch", "graph_batch").agg(
+        F.count(F.lit(1)).alias("elements"),
+        F.min("ordinal").alias("first_ordinal"),
+        F.max("ordinal").alias("last_ordinal"),
+    )
+
+
+@query("commit_batches_second_load", f"""
+    SELECT o_orderkey, _vid AS ordinal, (_vid - 1) // 700 + 1 AS tx_batch, (_vid - 1) // 700 // 3 + 1 AS graph_batch
+    FROM {vid_sql('Order')}""")
+def commit_batches_second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load of a label counts its own elements, with intervals of its own."""
+    store = new_graph(spark)
+    load_label(store, sf_dir, "Order", id_order="scan")
+    orders = table(spark, sf_dir, "orders")
+    second = load_vertices(
+        store, "Order", orders, "o_orderkey", map_path(store, "Order"),
+        tx_commit_interval=700, graph_tx_commit_interval=3, id_order="key",
+    )
+    return vertex_batches(store, "Order", second.load_id).select(
+        "o_orderkey", "ordinal", "tx_batch", "graph_batch"
+    )
+
+
+@query("commit_log", """
+    SELECT label, k + 1 AS graph_batch, k * 4 + 1 AS first_tx, least(k * 4 + 4, n // 100 + 1) AS last_tx,
+           least(400, n - k * 400) AS elements
+    FROM (SELECT 'Customer' AS label, count(*) AS n FROM customer
+          UNION ALL SELECT 'PLACED', count(*) FROM orders) l,
+         LATERAL (SELECT unnest(range(0, n // 100 // 4 + 1)) AS k)""")
+def commit_log_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph commits of a vertex load and of an edge load."""
+    store = new_graph(spark)
+    customers = table(spark, sf_dir, "customer")
+    init_vertex(store, "Customer", customers)
+    every = {"tx_commit_interval": 100, "graph_tx_commit_interval": 4}
+    load_vertices(store, "Customer", customers, "c_custkey", map_path(store, "Customer"), **every)
+    load_label(store, sf_dir, "Order")
+    load_placed(store, sf_dir, **every)
+    logs = [
+        commit_log(store, kind, label).select(F.lit(label).alias("label"), "graph_batch", "first_tx", "last_tx", "elements")
+        for kind, label in (("vertex", "Customer"), ("edge", "PLACED"))
+    ]
+    return logs[0].unionByName(logs[1])
+
+
 @query("load_summary", """
     SELECT label, elements, elements // 1000 + 1 AS tx_commits,
            elements // 1000 // 4 + 1 AS graph_commits
@@ -667,6 +735,24 @@ def dangling_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_dangling(broken, store)
 
 
+@query("dangling_ids_scan", """
+    SELECT c_custkey AS key, c_acctbal < 0 OR c_mktsegment = 'BUILDING' AS dangling FROM customer
+    UNION ALL SELECT -o_orderkey, o_orderstatus = 'P' FROM orders""")
+def dangling_ids_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of dense loads and of loads in scan order, some of them between or past what exists."""
+    store = new_graph(spark)
+    load_label(store, sf_dir, "Order")
+    customers = table(spark, sf_dir, "customer").repartition(5)
+    load_label(store, sf_dir, "Customer", source=customers, id_order="scan")
+    load_label(store, sf_dir, "Supplier")
+    past = F.lit(1 << 32)  # within a segment, and beyond its rows
+    gone = F.when((F.col("c_acctbal") < 0) | (F.col("c_mktsegment") == "BUILDING"), past).otherwise(0)
+    keys = store.vertices("Customer").select(F.col("c_custkey").alias("key"), (F.col("_vid") + gone).alias("vid"))
+    low = F.when(F.col("o_orderstatus") == "P", -F.col("_vid")).otherwise(F.col("_vid"))
+    orders = store.vertices("Order").select((-F.col("o_orderkey")).alias("key"), low.alias("vid"))
+    return mark_dangling(keys.unionByName(orders), store).select("key", "dangling")
+
+
 # -- edge loads ----------------------------------------------------------------------
 
 PLACED_KEYS = ("o_custkey", "o_orderkey", "Customer", "Order", "c_custkey", "o_orderkey")

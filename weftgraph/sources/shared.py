@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
 
@@ -43,6 +44,16 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_counted(df: DataFrame, path: str) -> int:
+    """Write the frame as ORC and return its rows, counted by the tasks that wrote them.
+
+    A task that is run again counts once.
+    """
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.orc(path)
+    return counted.get["rows"]
+
+
 def fits_broadcast(spark: SparkSession, table_bytes: int) -> bool:
     """Is a table of this many bytes within the session's own broadcast limit?"""
     limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

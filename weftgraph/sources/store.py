@@ -35,7 +35,8 @@ REGISTRY = {
     "indexes": "index string, label string, property string, kind string",
     "loads": (
         "kind string, label string, load_id string, seq bigint, lo bigint, hi bigint, "
-        "rows bigint, dense boolean, full boolean, fields string"
+        "rows bigint, dense boolean, full boolean, fields string, "
+        "tx_interval bigint, graph_interval bigint"
     ),
     "segments": "load_id string, segment bigint, rows bigint",
 }
@@ -100,6 +101,7 @@ class GraphStore:
         return {r["property"]: r["kind"] for r in self.rows("indexes") if r["index"] == index}
 
     def index_name(self, label: str) -> str:
+        # Fixed value: the form of an index name.
         return f"{self.name}_Vertex_{label}"
 
     # -- loads ----------------------------------------------------------------
