@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from weftgraph.operators.index import token_postings
 from weftgraph.operators.textmatch import first_text_match
@@ -69,3 +70,57 @@ def test_long_key_in_long_text(spark, work):
 
 def test_nothing_to_search_in(spark, work):
     assert _ours(spark, ["a"], [], work) == {}
+
+
+def test_sets_of_frequent_words_meet_few_vertices(spark, work, monkeypatch):
+    """Every text has the frequent words; a set of them is answered in the first range."""
+    from weftgraph.operators import textmatch
+
+    rng = random.Random(6)
+    texts = [(i * 3, f"the of and {rng.choice('abcdefgh')} {'rare' if i == 2900 else ''}") for i in range(3000)]
+    frequent = ["of the", "the of and", "and of", "the and"]
+    keys = [*frequent, *(f"the of {x}" for x in "abcdefgh"), *(f"the {x} z" for x in "ab"), "the rare", "rare of and the"]
+    expected = _brute_force(keys, texts)
+    met, ranges = [], []
+    real_pairs, real_matches = textmatch._with_rarest, textmatch._matches
+
+    def pairs(sets, postings):
+        found = real_pairs(sets, postings)
+        met.append(found.count())
+        return found
+
+    def matches(sets, *others):
+        ranges.append(sorted(" ".join(sorted([r["first_word"], r["second_word"], *r["other_words"]])) for r in sets.collect()))
+        return real_matches(sets, *others)
+
+    monkeypatch.setattr(textmatch, "_with_rarest", pairs)
+    monkeypatch.setattr(textmatch, "_matches", matches)
+    monkeypatch.setattr(textmatch, "GROWTH", 4)
+    monkeypatch.setattr(textmatch, "RANGES", 4)
+    monkeypatch.setattr(textmatch, "_borders", lambda *_: [3 * 3000 // 64, 3 * 3000 // 16, 3 * 3000 // 4])
+    assert _ours(spark, keys, texts, work) == expected
+    # All of the first range, then only what is not answered yet.
+    assert len(ranges[0]) == 14 and ranges[1:] == [["and of rare the", "rare the"]] * 3
+    assert sum(met) < 3000
+
+
+@pytest.mark.parametrize("pairs, ranges", [(0, 1), (800, 1), (801, 2), (10**5, 4), (10**18, 6)])
+def test_ranges_follow_from_the_pairs(spark, pairs, ranges):
+    from weftgraph.operators import textmatch
+
+    postings = spark.range(100).select(F.col("id").alias("_vid"))
+    borders = textmatch._borders(postings, 100, pairs)
+    assert borders == sorted(set(borders)) and len(borders) <= ranges - 1
+    assert (len(borders) == 0) == (ranges == 1)
+
+
+def test_too_many_words_to_send_around(spark, work, monkeypatch):
+    """Postings are then cut by the frequencies that were counted, and only for whole sets."""
+    from weftgraph.operators import textmatch
+
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = [(i, " ".join(["the", *rng.sample(vocabulary, 6)])) for i in range(400)]
+    keys = sorted({" ".join(["the", *rng.sample(vocabulary, rng.randint(0, 3)), *rng.choice([[], ["absent"]])]) for _ in range(80)})
+    monkeypatch.setattr(textmatch, "only_wanted", lambda *args: None)
+    assert _ours(spark, keys, texts, work) == _brute_force(keys, texts)

@@ -1,14 +1,21 @@
 """First vertex whose property has all the words of a key, for many keys.
 
-Done as equi-joins on words.  Keys are reduced to distinct word sets; a set
-with an unknown word is out at once, a one-word set is answered from the
-word's statistics.  The others start from their rarest word, are narrowed by
-the second rarest, and only then checked for the rest.  Candidates of a set
-are streamed into a minimum and never gathered.
+Done as equi-joins on words.  Keys are reduced to distinct word sets.  One pass over the
+postings counts the wanted words, with the lowest vertex of each: a set with an unknown word
+is out, a one-word set is answered.  The others start from their rarest word, are narrowed by
+the second rarest, and only then checked for the rest, so only the postings of these two are
+shuffled with pairs.
+
+Vertices are probed in ascending ranges of ids.  A set that is answered in one range is
+dropped from the next, eight times as long, so sets of frequent words, or of a text with many
+copies, never meet all their vertices.  How many ranges there are follows from the pairs that
+one alone would make.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,38 +24,15 @@ from weftgraph.operators.pruning import only_wanted
 from weftgraph.operators.skew import grid_join, hot_keys, salted_join
 from weftgraph.sources.shared import stage
 
-# Partitions one word's postings are dealt over before its frequency is known.
-WORD_SPLITS = 32
-
-
-def _with_wanted_words(postings: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Postings whose word is wanted.
-
-    If there are too many words to leave the postings where they are, each word
-    is dealt over several partitions: nothing is known yet of how frequent it is.
-    """
-    kept = only_wanted(postings, "token", wanted)
-    if kept is not None:
-        return kept
-    salt = F.pmod(F.xxhash64("_vid"), WORD_SPLITS).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(WORD_SPLITS - 1))).alias("_wg_salt")
-    return (
-        postings.withColumn("_wg_salt", salt)
-        .join(wanted.select("token", copies), ["token", "_wg_salt"], "left_semi")
-        .select("token", "_vid")
-    )
-
+#: Each range of ids has so many times the postings of the one before.
+GROWTH = 8
+#: Ranges at most; the first has GROWTH ** (1 - RANGES) of all postings.
+RANGES = 6
 
-def _one_of_each_kind(kept: DataFrame) -> DataFrame:
-    """Of the vertices that have the same wanted words, the one with the lowest id.
 
-    They match the same keys, so no other can be an answer: copies of a text,
-    and texts that differ in other words only, become one candidate.
-    """
-    # As long as the vertex's own text.
-    alike = kept.groupBy("_vid").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    first = alike.groupBy("tokens").agg(F.min("_vid").alias("_vid"))
-    return first.select(F.explode("tokens").alias("token"), "_vid")
+def _counted(postings: DataFrame) -> DataFrame:
+    """(token, n_vertices, first_vid), added up in the tasks before anything is shuffled."""
+    return postings.groupBy("token").agg(F.count(F.lit(1)).alias("n_vertices"), F.min("_vid").alias("first_vid"))
 
 
 def _ranked_sets(sets: DataFrame, words: DataFrame) -> DataFrame:
@@ -72,9 +56,23 @@ def _ranked_sets(sets: DataFrame, words: DataFrame) -> DataFrame:
         F.try_element_at(word, F.lit(2)).alias("second_word"),
         F.slice(word, 3, F.greatest(F.size(word) - 2, F.lit(0))).alias("other_words"),
         F.col("ranked.first_vid")[0].alias("first_vid"),
+        F.col("ranked.n_vertices")[0].alias("n_vertices"),
     )
 
 
+def _postings_of(postings: DataFrame, wanted: DataFrame, words: DataFrame) -> DataFrame:
+    """Postings whose word is wanted; shuffled only if there are too many words to send around.
+
+    ``words`` tells then which words are frequent, and into how many parts each is cut.
+    """
+    kept = only_wanted(postings, "token", wanted)
+    if kept is None:
+        hot = hot_keys(words, "token", "n_vertices")
+        one = wanted.withColumnRenamed("token", "_wg_token")
+        kept = salted_join(postings, one, F.col("token"), "_wg_token", hot, F.col("_vid"))
+    return kept
+
+
 def first_text_match(keys: DataFrame, postings: DataFrame, work: str) -> DataFrame:
     """(key, vid): lowest id with all words of the key; unmatched keys are left out.
 
@@ -90,33 +88,29 @@ def first_text_match(keys: DataFrame, postings: DataFrame, work: str) -> DataFra
         f"{work}/sets",
     )
     wanted = stage(sets.select(F.explode("words").alias("token")).distinct(), f"{work}/wanted")
-    kept = stage(_one_of_each_kind(_with_wanted_words(postings, wanted)), f"{work}/postings")
-    words = stage(
-        kept.groupBy("token").agg(
-            F.count(F.lit(1)).alias("n_vertices"), F.min("_vid").alias("first_vid")
-        ),
-        f"{work}/words",
-    )
+    kept = only_wanted(postings, "token", wanted)
+    if kept is not None:
+        # The texts are read once: what is counted and probed are the postings in place.
+        kept = stage(kept, f"{work}/postings")
+        counted = _counted(kept)
+    else:
+        counted = _counted(postings).join(wanted, "token")
+    words = stage(counted, f"{work}/words")
     ranked = stage(_ranked_sets(sets, words), f"{work}/ranked")
 
     one_word = ranked.where("n_words = 1").select("set_id", F.col("first_vid").alias("vid"))
-    both = _with_two_rarest(ranked.where("n_words > 1"), kept, words)
-    two_words = both.where("n_words = 2").select("set_id", F.col("_vid").alias("vid"))
-    longer = (
-        both.where("n_words > 2")
-        .select("set_id", "n_words", "_vid", F.explode("other_words").alias("token"))
-        .join(kept, ["token", "_vid"], "left_semi")
-        .groupBy("set_id", "n_words", "_vid")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n = n_words - 2")
-        .select("set_id", F.col("_vid").alias("vid"))
-    )
-    matched = (
-        one_word.unionByName(two_words)
-        .unionByName(longer)
-        .groupBy("set_id")
-        .agg(F.min("vid").alias("vid"))
-    )
+    several = ranked.where("n_words > 1").drop("first_vid")
+    pairs = several.agg(F.sum("n_vertices")).first()[0]
+    found = [one_word]
+    if pairs:
+        if kept is None:
+            used = F.array_union(F.array("first_word", "second_word"), "other_words")
+            used = several.select(F.explode(used).alias("token")).distinct()
+            kept = _postings_of(postings, stage(used, f"{work}/used"), words)
+            kept = stage(kept, f"{work}/postings")
+        rows = words.agg(F.sum("n_vertices")).first()[0]
+        found += _probed(several, kept, rows, pairs, work)
+    matched = reduce(DataFrame.unionByName, found)
     answers = sets.join(matched, "set_id").select(F.col("words").alias("set_words"), "vid")
     return salted_join(
         key_sets,
@@ -128,19 +122,69 @@ def first_text_match(keys: DataFrame, postings: DataFrame, work: str) -> DataFra
     ).select("key", "vid")
 
 
-def _with_two_rarest(sets: DataFrame, postings: DataFrame, words: DataFrame) -> DataFrame:
-    """(set, _vid) pairs where the vertex has the set's two rarest words."""
-    per_word = sets.groupBy(F.col("first_word").alias("key")).agg(
-        F.count(F.lit(1)).alias("right_rows")
+def _borders(postings: DataFrame, rows: int, pairs: int) -> list[int]:
+    """Ids where a new range starts, ascending; none where all pairs are few for so many postings."""
+    ranges = 1
+    while ranges < RANGES and pairs > rows * GROWTH**ranges:
+        ranges += 1
+    shares = [GROWTH**-k for k in range(ranges - 1, 0, -1)]
+    if not shares:
+        return []
+    found = postings.agg(F.percentile_approx("_vid", shares, F.lit(10_000))).first()[0]
+    return sorted(set(found))
+
+
+def _probed(sets: DataFrame, postings: DataFrame, rows: int, pairs: int, work: str) -> list[DataFrame]:
+    """(set_id, vid) of the sets that have a match, range by range."""
+    rarest = sets.select(F.explode(F.array("first_word", "second_word")).alias("token")).distinct()
+    rare = postings.join(stage(rarest, f"{work}/rarest"), "token", "left_semi")
+    borders, found, still_open = _borders(postings, rows, pairs), [], sets
+    for n, (low, high) in enumerate(zip([None, *borders], [*borders, None])):
+        within = F.lit(True)
+        if low is not None:
+            within = within & (F.col("_vid") > low)
+        if high is not None:
+            within = within & (F.col("_vid") <= high)
+        matches = _matches(still_open, rare.where(within), postings.where(within), f"{work}/range-{n}")
+        found.append(matches if high is None else stage(matches, f"{work}/found-{n}"))
+        if high is not None:
+            still_open = stage(still_open.join(found[-1], "set_id", "left_anti"), f"{work}/open-{n}")
+            if still_open.isEmpty():
+                break
+    return found
+
+
+def _matches(sets: DataFrame, rare: DataFrame, postings: DataFrame, work: str) -> DataFrame:
+    """(set_id, vid): the lowest of these vertices that has all words of the set.
+
+    A vertex has a word once, so the joins are inner ones, and where the pairs are few they are
+    sent to the postings.
+    """
+    both = _with_rarest(sets, rare).join(rare, ["token", "_vid"]).drop("token")
+    both = stage(both, f"{work}-both")
+    two_words = both.where("n_words = 2").select("set_id", F.col("_vid").alias("vid"))
+    longer = (
+        both.where("n_words > 2")
+        .select("set_id", "n_words", "_vid", F.explode("other_words").alias("token"))
+        .join(postings, ["token", "_vid"])
+        .groupBy("set_id", "n_words", "_vid")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n = n_words - 2")
+        .select("set_id", F.col("_vid").alias("vid"))
     )
-    counts = per_word.join(words, F.col("key") == F.col("token")).select(
-        "key", F.col("n_vertices").alias("left_rows"), "right_rows"
+    return two_words.unionByName(longer).groupBy("set_id").agg(F.min("vid").alias("vid"))
+
+
+def _with_rarest(sets: DataFrame, postings: DataFrame) -> DataFrame:
+    """(set, _vid, token) pairs where the vertex has the set's rarest word; token is the next."""
+    # The frequencies are of all vertices, and those of a range are a share of them.
+    counts = sets.groupBy(F.col("first_word").alias("key")).agg(
+        F.max("n_vertices").alias("left_rows"), F.count(F.lit(1)).alias("right_rows")
     )
-    pairs = grid_join(
+    return grid_join(
         postings.withColumn("_wg_position", F.col("_vid")),
         sets.withColumn("_wg_order", F.col("set_id")),
         "token",
         "first_word",
         counts,
     ).select("set_id", "n_words", "other_words", "_vid", F.col("second_word").alias("token"))
-    return pairs.join(postings, ["token", "_vid"], "left_semi")
