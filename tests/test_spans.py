@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weftgraph.operators.resolve import in_spans, mark_dangling
+from weftgraph.operators.resolve import mark_dangling, span_of
 from weftgraph.plans.jobs import init_vertex, load_vertices
 
 
@@ -23,25 +23,25 @@ def test_lookup_equals_a_plain_search(spark, seed):
     values += [None, 0, -1, 2**62]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "n int, vid bigint")
     existing = sum(hi - lo + 1 for lo, hi in spans)
-    found = in_spans(df, F.col("vid"), spark.createDataFrame(spans, "lo bigint, hi bigint"), existing, "known")
-    expected = {i: v is not None and any(lo <= v <= hi for lo, hi in spans) for i, v in enumerate(values)}
-    assert {r["n"]: r["known"] for r in found.collect()} == expected
+    found = span_of(df, F.col("vid"), spark.createDataFrame(spans, "lo bigint, hi bigint"), existing, "span")
+    holds = lambda v: next((lo for lo, hi in spans if v is not None and lo <= v <= hi), None)
+    assert {r["n"]: r["span"] for r in found.collect()} == {i: holds(v) for i, v in enumerate(values)}
 
 
 def test_no_spans(spark):
     df = spark.createDataFrame([(1,), (None,)], "vid bigint")
-    found = in_spans(df, F.col("vid"), spark.createDataFrame([], "lo bigint, hi bigint"), 0, "known")
-    assert [r["known"] for r in found.collect()] == [False, False]
+    found = span_of(df, F.col("vid"), spark.createDataFrame([], "lo bigint, hi bigint"), 0, "span")
+    assert [r["span"] for r in found.collect()] == [None, None]
 
 
 def test_many_spans_in_one_segment_are_looked_up_in_even_shares(spark, no_small_data_plans):
     # 10,000 dense loads of 100 ids with gaps between them, and a million keys.
     spans = spark.range(10_000).select((F.col("id") * 150 + 1).alias("lo"), (F.col("id") * 150 + 100).alias("hi"))
     keys = spark.range(0, 1_000_000, 1, 8).select((F.col("id") * 3 % 1_500_000).alias("vid"))
-    found = in_spans(keys, F.col("vid"), spans, 1_000_000, "known").cache()
+    found = span_of(keys, F.col("vid"), spans, 1_000_000, "span").cache()
     by_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     assert len(by_task) == 8 and max(by_task) <= 3 * sorted(by_task)[4]
-    wrong = found.where(F.col("known") != ((F.col("vid") > 0) & ((F.col("vid") - 1) % 150 < 100)))
+    wrong = found.where(F.col("span").isNotNull() != ((F.col("vid") > 0) & ((F.col("vid") - 1) % 150 < 100)))
     assert wrong.count() == 0 and found.count() == 1_000_000
     found.unpersist()
 

@@ -137,8 +137,10 @@ def _slab_bits(ids: int, partitions: int) -> int:
     return max(0, (ids // (SLABS * partitions)).bit_length())
 
 
-def in_spans(df: DataFrame, value: Column, spans: DataFrame, ids: int, name: str) -> DataFrame:
-    """Adds ``name``: is the value within one of the spans (lo, hi), which do not overlap?
+def span_of(df: DataFrame, value: Column, spans: DataFrame, ids: int, name: str) -> DataFrame:
+    """Adds ``name``: where the span (lo, hi) that holds the value starts; null if none does.
+
+    Spans do not overlap.
 
     Both sides are cut into slabs of equal width, so that no slab has more than a small share
     of the ``ids`` that exist, and joined by slab.  A span is repeated in each slab it reaches
@@ -148,9 +150,8 @@ def in_spans(df: DataFrame, value: Column, spans: DataFrame, ids: int, name: str
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = _slab_bits(ids, partitions)
     slab = lambda c: F.shiftright(c, bits)
-    cut = spans.select("lo", "hi", F.explode(F.sequence(slab(F.col("lo")), slab(F.col("hi")))).alias("_wg_slab"))
-    start = F.shiftleft("_wg_slab", bits)
-    cut = cut.select("_wg_slab", F.greatest("lo", start).alias("lo"), F.least("hi", start + (1 << bits) - 1).alias("hi"))
+    reached = F.sequence(slab(F.col("lo")), slab(F.col("hi")))
+    cut = spans.select("lo", "hi", F.explode(reached).alias("_wg_slab"))
     # As long as the number of loads and scan tasks that reach into one slab.
     slabs = cut.groupBy("_wg_slab").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("_wg_spans"))
     # Steps of the bisection: the powers of two below the number of spans, falling.
@@ -166,8 +167,9 @@ def in_spans(df: DataFrame, value: Column, spans: DataFrame, ids: int, name: str
         return F.when((ahead <= F.size("_wg_spans")) & (starts <= value), ahead).otherwise(at)
 
     before = F.aggregate("_wg_steps", F.lit(0), step)  # spans that start at or before the value
-    within = (before > 0) & (value <= F.get("_wg_spans", before - 1)["hi"])
-    return joined.select(*[column(c) for c in df.columns], F.coalesce(within, F.lit(False)).alias(name))
+    last_span = F.when(before > 0, F.get("_wg_spans", before - 1))
+    start = F.when(value <= last_span["hi"], last_span["lo"])
+    return joined.select(*[column(c) for c in df.columns], start.alias(name))
 
 
 def mark_dangling(ids: DataFrame, store: GraphStore) -> DataFrame:
@@ -182,8 +184,9 @@ def mark_dangling(ids: DataFrame, store: GraphStore) -> DataFrame:
     if all(r["dense"] for r in loads) and len(ranges) <= 1:
         exists = vid.between(*ranges[0]) if ranges else F.lit(False)
         return ids.withColumn("dangling", vid.isNotNull() & ~exists)
-    known = in_spans(ids, vid, _id_spans(store, ranges), sum(r["rows"] for r in loads), "_wg_known")
-    return known.select(*[column(c) for c in ids.columns], (vid.isNotNull() & ~F.col("_wg_known")).alias("dangling"))
+    known = span_of(ids, vid, _id_spans(store, ranges), sum(r["rows"] for r in loads), "_wg_span")
+    lost = vid.isNotNull() & F.col("_wg_span").isNull()
+    return known.select(*[column(c) for c in ids.columns], lost.alias("dangling"))
 
 
 @dataclass(frozen=True)

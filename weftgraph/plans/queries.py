@@ -18,7 +18,12 @@ from weftgraph.functions.tokens import text_contains
 from weftgraph.functions.types import properties_long, supported_projection
 from weftgraph.operators.ids import commit_batches, commit_counts, key_order_ids
 from weftgraph.operators.index import define_index, token_postings, value_postings
-from weftgraph.operators.lookup import vertices_by_id, vertices_by_property, vertices_by_text
+from weftgraph.operators.lookup import (
+    vertices_by_id,
+    vertices_by_property,
+    vertices_by_text,
+    vertices_with_ids,
+)
 from weftgraph.operators.registry import (
     key_pairs,
     register_labels,
@@ -578,6 +583,19 @@ def vertex_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vertices_by_id(store.all_vertices(), ids).select("_vid", "c_custkey", "c_name")
 
 
+@query("vertices_with_ids", f"""
+    SELECT c._vid, c.c_custkey FROM {vid_sql('Customer', ('Customer', 'Order'))} c JOIN orders ON o_custkey = c_custkey
+    GROUP BY ALL""")
+def vertices_with_many_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers that orders name, among those of the second load only."""
+    store = new_graph(spark)
+    for label in ("Customer", "Order", "Customer"):
+        load_label(store, sf_dir, label)
+    saved = read_primary_key_map(spark, map_path(store, "Customer"))
+    ids = table(spark, sf_dir, "orders").join(saved, F.col("o_custkey") == F.col("key")).select("vid")
+    return vertices_with_ids(store, "Customer", ids).select("_vid", "c_custkey")
+
+
 @query("vertex_by_property", f"SELECT _vid, c_custkey FROM {vid_sql('Customer')} WHERE c_mktsegment = 'BUILDING'")
 def vertex_by_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = new_graph(spark)

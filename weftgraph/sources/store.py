@@ -136,17 +136,20 @@ class GraphStore:
             [T.StructType.fromJson(json.loads(r["fields"])) for r in self.loads(kind, label)]
         )
 
-    def elements(self, kind: str, label: str) -> DataFrame | None:
-        """All finished loads of a label; None before the first one."""
+    def elements(self, kind: str, label: str, only: set[str] | None = None) -> DataFrame | None:
+        """All finished loads of a label, or ``only`` some; None before the first one."""
         loads = self.loads(kind, label)
         if not loads:
             return None
         schema = merge_fields([T.StructType.fromJson(json.loads(r["fields"])) for r in loads])
-        paths = [self.path(kind, label, r["load_id"]) for r in loads]
-        return self.spark.read.schema(schema).orc(paths)
-
-    def vertices(self, label: str) -> DataFrame | None:
-        found = self.elements("vertex", label)
+        wanted = [r["load_id"] for r in loads if only is None or r["load_id"] in only]
+        if not wanted:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).orc([self.path(kind, label, i) for i in wanted])
+
+    def vertices(self, label: str, only: set[str] | None = None) -> DataFrame | None:
+        """Vertices of a label; of ``only`` these loads, whose files alone are listed then."""
+        found = self.elements("vertex", label, only)
         return None if found is None else found.withColumn("_label", F.lit(label))
 
     def edges(self, label: str) -> DataFrame | None:
