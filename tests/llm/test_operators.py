@@ -321,6 +321,29 @@ def test_the_model_finds_what_the_patterns_miss():
     assert pii.added_spans(text, found, pii.base_spans(text)) == [(3, 14, 30)]
 
 
+def test_repeats_of_rows_that_share_an_id(spark):
+    text = lambda x: " ".join(f"{x}{i}" for i in range(40))
+    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (None, text("c")), (None, text("d")), (None, text("c")), (3, text("d")), (2, None)]
+    df = spark.createDataFrame([(*r, "en", "a", 9, 9, 9, "x") for r in rows], DOCS).repartition(3)
+    importable(spark)
+    for bins in (1 << 20, 16):
+        found = [(r["doc_id"], r["kept_text"][:2], r["n_removed"]) for r in substrings.dedup_substrings(df, bin_suffixes=bins).collect()]
+        assert sorted(found, key=repr) == sorted(
+            [(1, "a0", 0), (2, "", 40), (2, "b0", 0), (None, "c0", 0), (None, "c0", 0), (None, "d0", 0), (3, "", 40), (2, "", 0)], key=repr
+        )
+
+
+def test_columns_that_have_the_names_used_inside(spark):
+    names = "_id _text _places _lines _stretches _key _same _times _time _size _taken size a b row kept text_".split()
+    fields = ", ".join(f"{n} string" for n in names)
+    rows = [(i, PROSE if i < 4 else f"{PROSE}\n{i}", "en", "a", 5, *(f"{n}{i}" for n in names)) for i in range(6)]
+    df = spark.createDataFrame(rows, f"doc_id bigint, text string, lang string, source string, n_chars bigint, {fields}")
+    importable(spark)
+    for found in (lines.dedup_lines(df), mixing.mix_documents(df)):
+        assert found.columns[: len(df.columns)] == df.columns
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in found.collect() for n in names)
+
+
 # -- 9 ---------------------------------------------------------------------------------
 
 

@@ -28,7 +28,7 @@ def test_stages_of_the_table(spark):
     expected = plain.dedup_lines([(r["doc_id"], r["text"]) for r in known])
     assert {r["doc_id"]: r["text"] for r in deduped} == {i: x[2] for i, x in expected.items()}
     assert all(r["n_chars"] == len(r["text"]) for r in deduped)
-    groups = plain.jaccard_components([(r["doc_id"], r["text"]) for r in deduped])
+    groups = plain.jaccard_components([(r["doc_id"], r["text"]) for r in deduped], percent=80, size=5)
     assert sorted(r["doc_id"] for r in single) == sorted(i for i, (_, c) in groups.items() if i == c)
     text = {r["doc_id"]: r["text"] for r in single}
     assert all(r["text"] == text[r["doc_id"]] for r in mixed)
@@ -71,3 +71,55 @@ def test_near_copies_of_the_table(spark):
     kept = sorted(r["doc_id"] for r in pipeline.one_of_near_copies(spark, docs, SF_DIR).collect())
     groups = plain.jaccard_components([(r["doc_id"], r["text"]) for r in docs.collect()], percent=80, size=5)
     assert kept == sorted(i for i, (_, c) in groups.items() if i == c)
+
+
+INSIDE = """_id _text _places _lines _stretches _key _same _times _time _size _taken size score lang_pred held_out bound row
+component_id n_lines n_dropped kept_text first salt kept _row document_ _part _at""".split()
+
+
+def test_columns_with_names_that_stages_use(spark):
+    importable(spark)
+    fields = ", ".join(f"{n} string" for n in INSIDE)
+    rows = [(i, f"{DOCS_TEXT} number {i % 7} of the day\n{DOCS_TEXT}", "en", "ab"[i % 2], 9, *(f"{n}{i}" for n in INSIDE)) for i in range(40)]
+    docs = spark.createDataFrame(rows, f"doc_id bigint, text string, lang string, source string, n_chars bigint, {fields}").repartition(3)
+    columns = docs.columns
+    for name, function in pipeline.STAGES[:-1]:
+        docs = stage(function(spark, docs, SF_DIR), name)
+        assert docs.columns == columns
+        found = docs.collect()
+        assert found and all(r[n] == f"{n}{r['doc_id']}" for r in found for n in INSIDE)
+    assert pipeline.packed(spark, docs, SF_DIR).count()
+
+
+DOCS_TEXT = "the quick brown fox jumps over the lazy dog and runs through the green wood"
+
+
+def test_copies_are_rows_and_not_ids(spark):
+    a, b, c, u = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcu")
+    rows = [(1, a), (2, a), (2, u), (3, b), (3, b), (None, c), (None, c), (4, c), (None, "other words here"), (5, None), (5, None), (6, "")]
+    docs = spark.createDataFrame([(*r, "en", "a", 9, 9, 9, "x") for r in rows], DOCS).repartition(3)
+    importable(spark)
+    kept = [(r["doc_id"], r["text"]) for r in pipeline.one_of_near_copies(spark, docs, SF_DIR).collect()]
+    expected = [(1, a), (2, u), (3, b), (None, c), (None, "other words here"), (5, None), (5, None), (6, "")]
+    assert sorted(kept, key=repr) == sorted(expected, key=repr)
+
+
+def test_alien_documents_go_and_clean_ones_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(2)
+    alphabets = {"latin": [chr(x) for x in range(97, 123)], "han": [chr(x) for x in range(0x4E00, 0x9000)], "greek": [chr(x) for x in range(0x3B1, 0x3C9)]}
+    aliens, short = [], []
+    for k, letters in enumerate(alphabets.values()):
+        for n in range(40):
+            size = (60, 200, 1000, 4000)[n % 4]
+            chars = rng.choice(letters, size)
+            chars[rng.random(size) < 0.15] = " "
+            aliens.append((-1 - 1000 * k - n, "".join(chars), None, "alien", 0))
+    for r in docs.where("n_chars > 400").limit(60).collect():
+        short.append((-100_000 - r["doc_id"], r["text"][:100], None, "short", 0))
+    more = spark.createDataFrame(aliens + short, docs.schema)
+    kept = pipeline.known_language(spark, docs.unionByName(more), SF_DIR)
+    counts = {r["source"]: r["count"] for r in kept.groupBy("source").count().collect()}
+    assert counts.get("alien", 0) <= 0.1 * len(aliens)
+    assert counts["short"] >= 0.95 * len(short)
+    assert sum(n for s, n in counts.items() if s not in ("alien", "short")) >= 0.99 * docs.count()

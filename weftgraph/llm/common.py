@@ -46,6 +46,23 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return write_and_read(df, new_dir(df.sparkSession, purpose))
 
 
+def carried(df: DataFrame, *needed: str) -> DataFrame:
+    """``needed`` columns under their names, and the others under names that clash with nothing."""
+    others = [c for c in df.columns if c not in needed]
+    return df.select(*needed, *[F.col(_quoted(c)).alias(f"column {i}") for i, c in enumerate(others)])
+
+
+def returned(found: DataFrame, df: DataFrame, *needed: str, **changed: Column) -> list[Column]:
+    """The columns of ``df`` out of what was made from ``carried(df, *needed)``."""
+    others = [c for c in df.columns if c not in needed]
+    place = {c: f"column {i}" for i, c in enumerate(others)}
+    return [changed.get(c, found[_quoted(place.get(c, c))]).alias(c) for c in df.columns]
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

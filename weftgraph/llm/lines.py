@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import SPACES, stage
+from weftgraph.llm.common import SPACES, carried, returned, stage
 
 MIN_CHARS, MIN_DOCUMENTS = 20, 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,9 +60,13 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped``; lines stay in their order."""
+    """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped``; lines stay in their order.
+
+    Columns that have these names already are replaced.
+    """
     docs = docs.drop("kept_text", "n_lines", "n_dropped")
-    found = _with_row_key(docs).join(repeated_lines(docs), ["_id", "_text"], "left")
+    inner = carried(docs, "doc_id", "text")
+    found = _with_row_key(inner).join(repeated_lines(inner), ["_id", "_text"], "left")
     text = F.coalesce("text", F.lit(""))
     n_lines = F.length(text) - F.length(F.translate(text, "\n", "")) + 1
     found = found.withColumn("n_lines", n_lines.cast("long"))
@@ -73,9 +77,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     found = found.withColumn("_lines", F.when(F.col("_places").isNotNull(), F.split("text", "\n", -1)))
     kept = F.flatten(F.transform("_stretches", lambda x: F.slice("_lines", x["s"] + 1, x["e"] - x["s"])))
     none = F.col("_places").isNull()
-    return found.select(
-        *docs.columns,
-        F.when(none, text).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
-        "n_lines",
-        F.when(none, F.lit(0)).otherwise(F.size("_places")).cast("long").alias("n_dropped"),
-    )
+    found = found.withColumn("_kept", F.when(none, text).otherwise(F.array_join(kept, "\n")))
+    found = found.withColumn("_dropped", F.when(none, F.lit(0)).otherwise(F.size("_places")).cast("long"))
+    made = [found["_kept"].alias("kept_text"), found["n_lines"], found["_dropped"].alias("n_dropped")]
+    return found.select(*returned(found, docs, "doc_id", "text"), *made)

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import stage, word_count
+from weftgraph.llm.common import carried, returned, stage, word_count
 
 #: Weights of the sources by code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -195,9 +195,10 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     )
     times = F.round(F.col("_taken") / F.col("_size")).cast("int")
     taken = taken.select(F.col("doc_id").alias("_id"), F.col("_same").alias("_text"), times.alias("_times"))
-    matched = docs.join(
+    inner = carried(docs, "doc_id", "text")
+    matched = inner.join(
         taken.where("_times > 0"),
-        docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(F.lit(1), docs["text"]) == F.col("_text")),
+        inner["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(F.lit(1), inner["text"]) == F.col("_text")),
     )
     repeated = matched.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times")))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    return repeated.select(*returned(repeated, docs, "doc_id", "text"))

@@ -18,8 +18,10 @@ marked at once, so a passage in every document is one leaf per batch.  Fingerpri
 have 64 bits and are compared only within a bin; a bin of 2^20 suffixes confuses two of
 them with a probability of 3e-8.
 
-Null and empty texts have no words.  A doc_id names one document: rows that share it
-are copies, with the same spans; a null doc_id comes first.
+Null and empty texts have no words.  A document is told by its doc_id, and where different
+texts share one, by a hash of its text besides: rows that are alike have the same spans, and
+of different texts of one id the one with the smaller hash is earlier.  A null doc_id comes
+first.
 """
 
 from __future__ import annotations
@@ -55,7 +57,7 @@ NO_ID = -(2**63)
 class _Suffixes:
     """The suffixes of a few documents: hashes, and where each is."""
 
-    def __init__(self, docs: np.ndarray, texts: pa.Array, min_words: int):
+    def __init__(self, docs: np.ndarray, tags: np.ndarray, texts: pa.Array, min_words: int):
         data, offsets = text_bytes(texts)
         starts, ends = word_bounds(data, offsets)
         hashes = word_hashes(data, starts, ends)
@@ -64,7 +66,7 @@ class _Suffixes:
         row = np.repeat(np.arange(len(docs)), count)
         place = np.arange(len(starts)) - np.repeat(first, count)
         self.at = np.flatnonzero(place + min_words <= count[row]) if len(starts) else first[:0]
-        self.row, self.place, self.docs = row[self.at], place[self.at], docs
+        self.row, self.place, self.docs, self.tags = row[self.at], place[self.at], docs, tags
         self._hashes, self._min = hashes, min_words
 
     def prefix(self, words: int) -> np.ndarray:
@@ -74,9 +76,10 @@ class _Suffixes:
 def _batches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[_Suffixes]:
     for batch in slices(batches, "text", BATCH_BYTES):
         ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
-        order = np.argsort(ids, kind="stable")
+        tags = batch.column("tag").to_numpy()
+        order = np.lexsort((tags, ids))
         texts = batch.column("text").cast(pa.large_string()).take(pa.array(order))
-        yield _Suffixes(ids[order], texts, min_words)
+        yield _Suffixes(ids[order], tags[order], texts, min_words)
 
 
 def _census(docs: DataFrame, min_words: int) -> list[np.ndarray]:
@@ -130,37 +133,43 @@ class Bins:
         return out
 
 
-def _packed(key: str, keys: np.ndarray, docs: np.ndarray, places: np.ndarray, prints: np.ndarray | None) -> Iterator[dict]:
+def _packed(key: str, keys: np.ndarray, docs: np.ndarray, tags: np.ndarray, places: np.ndarray,
+            prints: np.ndarray | None) -> Iterator[dict]:
     """One row per key; entries of a key stay in the order of document and place."""
     order = np.argsort(keys, kind="stable")
     cuts = np.flatnonzero(np.diff(keys[order])) + 1
     for part in np.split(order, cuts):
         if len(part):
-            ids, first = np.unique(docs[part], return_index=True)
+            ids, own = docs[part], tags[part]
+            first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (own[1:] != own[:-1])))
             yield {
-                key: int(keys[part[0]]), "docs": squeezed(ids),
+                key: int(keys[part[0]]), "docs": squeezed(ids[first]),
+                "tags": squeezed(own[first]) if own.any() else None,
                 "counts": np.diff(first, append=len(part)).astype("<u4").tobytes(),
                 "places": squeezed(places[part]),
                 "prints": None if prints is None else prints[part].tobytes(),
             }
 
 
-def _unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    docs, places, prints = [], [], []
+def _unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    docs, tags, places, prints = [], [], [], []
     for row in rows.to_pylist():
-        docs.append(np.repeat(unsqueezed(row["docs"]), np.frombuffer(row["counts"], "<u4")))
+        counts = np.frombuffer(row["counts"], "<u4")
+        docs.append(np.repeat(unsqueezed(row["docs"]), counts))
+        own = np.zeros(len(counts), np.int64) if row["tags"] is None else unsqueezed(row["tags"])
+        tags.append(np.repeat(own, counts))
         places.append(unsqueezed(row["places"]))
         if row["prints"] is not None:
             prints.append(np.frombuffer(row["prints"], np.uint64))
     join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return join(docs), join(places), np.concatenate(prints) if prints else None
+    return join(docs), join(tags), join(places), np.concatenate(prints) if prints else None
 
 
-_FIELDS = [("docs", pa.binary()), ("counts", pa.binary()), ("places", pa.binary()), ("prints", pa.binary())]
-_DDL = "docs binary, counts binary, places binary, prints binary"
+_FIELDS = [("docs", pa.binary()), ("tags", pa.binary()), ("counts", pa.binary()), ("places", pa.binary()), ("prints", pa.binary())]
+_DDL = "docs binary, tags binary, counts binary, places binary, prints binary"
 
 
-def _later(docs: np.ndarray, places: np.ndarray, prints: np.ndarray) -> np.ndarray:
+def _later(docs: np.ndarray, tags: np.ndarray, places: np.ndarray, prints: np.ndarray) -> np.ndarray:
     """Entries whose fingerprint has an earlier leaf, as indexes."""
     order = np.argsort(prints, kind="stable")
     same = prints[order][1:] == prints[order][:-1]
@@ -168,78 +177,92 @@ def _later(docs: np.ndarray, places: np.ndarray, prints: np.ndarray) -> np.ndarr
     shared[1:] |= same
     shared[:-1] |= same
     order = order[shared]
-    order = order[np.lexsort((places[order], docs[order], prints[order]))]
+    order = order[np.lexsort((places[order], tags[order], docs[order], prints[order]))]
     if not len(order):
         return order
     new = np.ones(len(order), bool)
     new[1:] = prints[order][1:] != prints[order][:-1]
     head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    return order[(docs[order] != docs[head]) | (places[order] != places[head])]
+    return order[(docs[order] != docs[head]) | (tags[order] != tags[head]) | (places[order] != places[head])]
+
+
+def tagged(docs: DataFrame) -> DataFrame:
+    """(doc_id, tag, text): the tag is a hash of the text where different texts share the id, else 0."""
+    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_hash"), "text")
+    shared = keyed.groupBy("_id").agg(F.min("_hash").alias("a"), F.max("_hash").alias("b")).where("a <> b")
+    shared = stage(shared.select("_id", F.lit(True).alias("_shared")), "shared-ids")
+    if shared.isEmpty():
+        return keyed.select("doc_id", F.lit(0).cast("long").alias("tag"), "text")
+    return keyed.join(shared, "_id", "left").select(
+        "doc_id", F.when(F.col("_shared"), F.col("_hash")).otherwise(0).alias("tag"), "text"
+    )
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, bin_suffixes: int = BIN_SUFFIXES) -> DataFrame:
-    """(doc_id, spans): the words of each document that repeat earlier text.
+    """(doc_id, tag, spans): the words of each document of ``tagged`` that repeat earlier text.
 
     ``spans`` has the first word and the word after the last of each span in turn.
     Documents without repeats have no row; a null doc_id is given as -2^63.
     """
-    texts = docs.select("doc_id", "text").where("text is not null")
+    texts = docs.select("doc_id", "tag", "text").where("text is not null")
     bins = Bins(_census(texts, min_words), bin_suffixes)
     count = bins.first_heavy + bins.heavy
 
     def to_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bin", pa.int64()), *_FIELDS])
         for found in _batches(batches, min_words):
-            whole, ids = found.prefix(min_words), found.docs[found.row]
+            whole, ids, tags = found.prefix(min_words), found.docs[found.row], found.tags[found.row]
             known = np.zeros(len(whole), bool)
-            known[_later(ids, found.place, whole)] = True
+            known[_later(ids, tags, found.place, whole)] = True
             sent = np.flatnonzero(~known)
             of_bin = bins.of(found, whole)
-            rows = list(_packed("bin", of_bin[sent], ids[sent], found.place[sent], whole[sent]))
+            rows = list(_packed("bin", of_bin[sent], ids[sent], tags[sent], found.place[sent], whole[sent]))
             # Those known already pass through the bins in even shares.
             known = np.flatnonzero(known)
-            rows += _packed("bin", found.row[known] % count, ids[known], found.place[known], None)
+            rows += _packed("bin", found.row[known] % count, ids[known], tags[known], found.place[known], None)
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     def subtrees(key: tuple, rows: pa.Table) -> pa.Table:
         with_prints = rows.filter(rows.column("prints").is_valid())
-        ids, places, prints = _unpacked(with_prints)
-        known_ids, known_places, _ = _unpacked(rows.filter(rows.column("prints").is_null()))
+        ids, tags, places, prints = _unpacked(with_prints)
+        known_ids, known_tags, known_places, _ = _unpacked(rows.filter(rows.column("prints").is_null()))
         if prints is not None:
-            later = _later(ids, places, prints)
+            later = _later(ids, tags, places, prints)
             known_ids = np.concatenate([known_ids, ids[later]])
+            known_tags = np.concatenate([known_tags, tags[later]])
             known_places = np.concatenate([known_places, places[later]])
-        order = np.lexsort((known_places, known_ids))
-        known_ids, known_places = known_ids[order], known_places[order]
-        back = known_ids % count
-        return pa.Table.from_pylist(list(_packed("home", back, known_ids, known_places, None)),
+        order = np.lexsort((known_places, known_tags, known_ids))
+        known_ids, known_tags, known_places = known_ids[order], known_tags[order], known_places[order]
+        back = (known_ids ^ known_tags) % count
+        return pa.Table.from_pylist(list(_packed("home", back, known_ids, known_tags, known_places, None)),
                                     pa.schema([("home", pa.int64()), *_FIELDS]))
 
     def to_spans(key: tuple, rows: pa.Table) -> pa.Table:
-        ids, places, _ = _unpacked(rows)
-        order = np.lexsort((places, ids))
-        ids, places = ids[order], places[order]
+        ids, tags, places, _ = _unpacked(rows)
+        order = np.lexsort((places, tags, ids))
+        ids, tags, places = ids[order], tags[order], places[order]
         new = np.ones(len(ids), bool)
-        new[1:] = (ids[1:] != ids[:-1]) | (places[1:] > places[:-1] + min_words)
+        new[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]) | (places[1:] > places[:-1] + min_words)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(ids)) - 1
-        doc = ids[first]
+        doc, tag = ids[first], tags[first]
         flat = np.stack([places[first], places[last] + min_words], axis=1).reshape(-1)
-        starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
+        starts = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]))) if len(doc) else np.zeros(0, np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(doc)) * 2, pa.int32()), pa.array(flat, pa.int32()))
-        return pa.Table.from_arrays([pa.array(doc[starts], pa.int64()), lists], names=["doc_id", "spans"])
+        return pa.Table.from_arrays([pa.array(doc[starts], pa.int64()), pa.array(tag[starts], pa.int64()), lists], names=["doc_id", "tag", "spans"])
 
     binned = texts.mapInArrow(to_bins, f"bin bigint, {_DDL}")
     leaves = binned.groupBy("bin").applyInArrow(subtrees, f"home bigint, {_DDL}")
-    return leaves.groupBy("home").applyInArrow(to_spans, "doc_id bigint, spans array<int>")
+    return leaves.groupBy("home").applyInArrow(to_spans, "doc_id bigint, tag bigint, spans array<int>")
 
 
 def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS, bin_suffixes: int = BIN_SUFFIXES,
                      texts: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept_text) of each row."""
+    docs = tagged(docs)
     spans = repeated_spans(docs, min_words, bin_suffixes).withColumnRenamed("doc_id", "_id")
-    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"))
-    joined = keyed.join(spans, "_id", "left").select("doc_id", "text", "spans")
+    keyed = docs.select("doc_id", "tag", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"))
+    joined = keyed.join(spans, ["_id", "tag"], "left").select("doc_id", "text", "spans")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
