@@ -7,14 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.llm import jaccard, language, lines, mixing, packing
-from weftgraph.llm.common import importable, stage, table
+from weftgraph.llm.common import carried, importable, returned, stage, table
 
-#: Cosine below which a document is in none of the learned languages.
-MIN_LANGUAGE_SCORE = 0.02
+#: Share of the documents learned from that a language's bound is read at, and the part of their
+#: cosine that is asked for.  Bounds are by text length, in powers of two.
+BOUND_QUANTILE, BOUND_SHARE = 0.01, 0.5
+#: Cosine asked for at a length of which nothing was learned: four deviations of chance.
+CHANCE = 4 / language.DIMENSIONS**0.5
 #: Similarity of near copies in percent, and words in a shingle.
 COPY_PERCENT, COPY_WORDS = 80, 5
 
@@ -22,13 +25,25 @@ COPY_PERCENT, COPY_WORDS = 80, 5
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; texts without letters and alien ones go.
 
-    Null and empty texts go.  A missing ``lang`` is no reason to go, and none is changed.
+    Texts of one length have about the same cosine with their language, longer ones a higher
+    one.  A document goes if its cosine is below half of the 1 % quantile at its length, taken
+    over the documents that are learned from.  Null and empty texts go.  A missing ``lang`` is
+    no reason to go, and none is changed.
     """
     importable(spark)
-    prototypes = language.learn(language.held_out(docs).where("not held_out"))
-    judged = language.predict(docs, prototypes)
-    kept = judged.where(f"lang_pred <> '{language.UNKNOWN}' and score >= {MIN_LANGUAGE_SCORE}")
-    return kept.select(docs.columns)
+    learned = language.held_out(docs.select("doc_id", "text", "lang")).where("not held_out")
+    prototypes = language.learn(learned)
+    length = F.floor(F.log2(F.greatest(F.length("text"), F.lit(1)).cast("double"))).cast("int")
+    judged = language.predict(carried(docs, "doc_id", "text", "lang"), prototypes)
+    judged = stage(judged.withColumn("size", length), "judged-languages")
+    own = language.held_out(judged.select("doc_id", "lang", "lang_pred", "size", "score"))
+    own = own.where(f"not held_out and lang is not null and lang_pred <> '{language.UNKNOWN}'")
+    # One row for each power of two.
+    bounds = own.groupBy("size").agg((F.percentile_approx("score", BOUND_QUANTILE) * BOUND_SHARE).alias("bound"))
+    judged = judged.join(F.broadcast(bounds), "size", "left")
+    bound = F.coalesce("bound", F.lit(CHANCE))
+    kept = judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= bound))
+    return kept.select(*returned(kept, docs, "doc_id", "text", "lang"))
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,35 +52,42 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     A document all of whose lines go stays, with an empty text.
     """
     importable(spark)
-    found = lines.dedup_lines(docs)
+    found = lines.dedup_lines(carried(docs, "doc_id", "text"))
     n_chars = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
-    changed: dict[str, Column] = {"text": F.col("kept_text"), "n_chars": n_chars}
-    return found.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+    return found.select(*returned(found, docs, "doc_id", "text", text=F.col("kept_text"), n_chars=n_chars))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies.
+    """One document of each group of near copies, the one with the smallest doc_id.
 
     Near copies share 80 % or more of their five-word shingles; op7's contract, which
-    asks for other numbers, binds only that query.  Rows that repeat that doc_id stay too; documents without words are no copies.
+    asks for other numbers, binds only that query.  Rows count by themselves, whether they
+    share an id or have none (which is smaller than any).  Documents without words are no copies.
     """
     importable(spark)
-    groups = jaccard.join_components(docs, percent=COPY_PERCENT, size=COPY_WORDS)
-    later = groups.where("component_id < coalesce(doc_id, -9223372036854775808)").select(F.col("doc_id").alias("_id")).distinct()
-    later = stage(later, "later-copies")
-    return docs.join(later, docs["doc_id"] == later["_id"], "left_anti").select(docs.columns)
+    numbered = carried(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    numbered = stage(numbered, "numbered-documents")
+    groups = jaccard.join_components(
+        numbered.select(F.col("row").alias("doc_id"), "text"), percent=COPY_PERCENT, size=COPY_WORDS
+    )
+    groups = groups.select(F.col("doc_id").alias("row"), "component_id")
+    first = numbered.select("row", "doc_id").join(stage(groups, "copy-groups"), "row")
+    first = first.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    kept = numbered.join(stage(first.select("first.row"), "first-copies"), "row", "left_semi")
+    return kept.select(*returned(kept, docs, "doc_id", "text"))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
     importable(spark)
-    return mixing.mix_documents(docs)
+    mixed = mixing.mix_documents(carried(docs, "doc_id", "text", "source"))
+    return mixed.select(*returned(mixed, docs, "doc_id", "text", "source"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: the pieces of every document and their places."""
     importable(spark)
-    return packing.pack(docs)
+    return packing.pack(docs.select("doc_id", "text"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
