@@ -31,19 +31,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     no reason to go, and none is changed.
     """
     importable(spark)
-    learned = language.held_out(docs.select("doc_id", "text", "lang")).where("not held_out")
+    size = F.floor(F.log2(F.greatest(F.length("text"), F.lit(1)).cast("double"))).cast("int")
+    learned = language.held_out(docs.select("doc_id", "text", "lang")).where("not held_out and lang is not null")
     prototypes = language.learn(learned)
-    length = F.floor(F.log2(F.greatest(F.length("text"), F.lit(1)).cast("double"))).cast("int")
-    judged = language.predict(carried(docs, "doc_id", "text", "lang"), prototypes)
-    judged = stage(judged.withColumn("size", length), "judged-languages")
-    own = language.held_out(judged.select("doc_id", "lang", "lang_pred", "size", "score"))
-    own = own.where(f"not held_out and lang is not null and lang_pred <> '{language.UNKNOWN}'")
+    own = language.predict(learned.select("text"), prototypes).where(F.col("lang_pred") != language.UNKNOWN)
     # One row for each power of two.
-    bounds = own.groupBy("size").agg((F.percentile_approx("score", BOUND_QUANTILE) * BOUND_SHARE).alias("bound"))
-    judged = judged.join(F.broadcast(bounds), "size", "left")
+    bounds = own.groupBy(size.alias("size")).agg(
+        (F.percentile_approx("score", BOUND_QUANTILE) * BOUND_SHARE).alias("bound")
+    )
+    judged = language.predict(carried(docs, "doc_id", "text"), prototypes).withColumn("size", size)
+    judged = judged.join(F.broadcast(stage(bounds, "language-bounds")), "size", "left")
     bound = F.coalesce("bound", F.lit(CHANCE))
     kept = judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= bound))
-    return kept.select(*returned(kept, docs, "doc_id", "text", "lang"))
+    return kept.select(*returned(kept, docs, "doc_id", "text"))
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,15 +65,25 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     share an id or have none (which is smaller than any).  Documents without words are no copies.
     """
     importable(spark)
-    numbered = carried(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    numbered = stage(numbered, "numbered-documents")
-    groups = jaccard.join_components(
-        numbered.select(F.col("row").alias("doc_id"), "text"), percent=COPY_PERCENT, size=COPY_WORDS
-    )
-    groups = groups.select(F.col("doc_id").alias("row"), "component_id")
-    first = numbered.select("row", "doc_id").join(stage(groups, "copy-groups"), "row")
-    first = first.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("first"))
-    kept = numbered.join(stage(first.select("first.row"), "first-copies"), "row", "left_semi")
+    rows = carried(docs, "doc_id", "text")
+    counted = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    shared = stage(counted.where("rows > 1 and doc_id is not null").select("doc_id"), "shared-ids")
+    # Rows that no id tells from others get numbers below all ids, and are written with them.
+    below = rows.agg(F.min("doc_id")).first()[0] or 0
+    number = F.lit(min(below, 0) - 1) - F.monotonically_increasing_id()
+    doubtful = rows.where("doc_id is null").unionByName(rows.join(shared, "doc_id", "left_semi").select(rows.columns))
+    doubtful = stage(doubtful.withColumn("row", number), "rows-without-own-id")
+    certain = rows.where("doc_id is not null").join(shared, "doc_id", "left_anti").select(*rows.columns, F.col("doc_id").alias("row"))
+    every = certain.select(F.col("row").alias("doc_id"), "text").unionByName(doubtful.select(F.col("row").alias("doc_id"), "text"))
+    groups = jaccard.join_components(every, percent=COPY_PERCENT, size=COPY_WORDS)
+    groups = stage(groups.select(F.col("doc_id").alias("row"), "component_id"), "copy-groups")
+    ids = doubtful.select("row", "doc_id", F.lit(True).alias("known"))
+    named = groups.join(ids, "row", "left")
+    named = named.withColumn("id", F.when(F.col("known"), F.col("doc_id")).otherwise(F.col("row")))
+    first = stage(named.groupBy("component_id").agg(F.min(F.struct("id", "row")).alias("first")), "first-copies")
+    later = groups.join(first, "component_id").where("row <> first.row").select("row")
+    later = stage(later, "later-copies")
+    kept = certain.unionByName(doubtful).join(later, "row", "left_anti")
     return kept.select(*returned(kept, docs, "doc_id", "text"))
 
 
