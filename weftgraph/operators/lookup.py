@@ -40,8 +40,8 @@ def vertices_with_ids(store: GraphStore, label: str, ids: DataFrame) -> DataFram
     ranges = pa.table({n: pa.array([r[n] for r in loads], pa.int64()) for n in ("lo", "hi")})
     spans = store.spark.createDataFrame(ranges, "lo bigint, hi bigint")
     reach = sum(r["hi"] - r["lo"] + 1 for r in loads)
-    met = span_of(wanted, F.col("_vid"), spans, reach, "span").select("span").distinct().collect()
-    starts = {r["span"] for r in met}
+    met = span_of(wanted, F.col("_vid"), spans, reach, "span").select("span").distinct()
+    starts = {r["span"] for r in met.take(len(loads) + 1)}  # and null, for ids that no load holds
     vertices = store.vertices(label, {r["load_id"] for r in loads if r["lo"] in starts})
     return None if vertices is None else vertices.join(wanted, "_vid", "left_semi")
 
