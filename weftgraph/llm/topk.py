@@ -124,7 +124,7 @@ def _blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
     """Vectors dealt into blocks: one row (block, ids, values) for each."""
     count = vectors.count()
     blocks = max(1, -(-count // size))
-    dealt = vectors.withColumn("_block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    dealt = vectors.withColumn("_block", F.pmod(F.xxhash64("vec_id", "_vector"), F.lit(blocks)))
     packed = dealt.groupBy("_block").agg(F.collect_list(F.struct("vec_id", "_vector")).alias("_rows"))
     return stage(packed, name)
 
