@@ -1,12 +1,14 @@
 """Personal data: patterns, and a character-level BiLSTM with a CRF.
 
 The patterns give the base spans.  A bidirectional LSTM with conditional-random-field
-transitions is trained in numpy from windows labelled with these spans, some of them
-rewritten to forms that the patterns miss (a phone number without its plus sign).  Text
-around digits and at signs, which every kind has, is cut into overlapping windows; the
-scores of the windows that share a character are averaged, nearer to a window's middle
-weighing more, and one best path is decoded through the whole stretch.  Its spans are
-added if they overlap no base span and have the digits or parts of their kind.
+transitions is trained in numpy from windows labelled with these spans and with those of
+secrets (tokens and passwords that a text assigns), all of them also rewritten to forms
+that the patterns miss: spelled-out at signs and dots, other separators, phone numbers
+without their plus sign.  Text around digits, at signs and spelled-out ones, which every
+such form has, is cut into overlapping windows; the scores of the windows that share a
+character are averaged, nearer to a window's middle weighing more, and one best path is
+decoded through the whole stretch.  Its spans are widened to whole words and added if
+they overlap no base span and, brought to the plain form of their kind, pass its test.
 
 The model is fitted on at most ``TRAIN_WINDOWS`` windows, taken from all documents by
 a hash; counts, patterns and decoding cover every text.  Null and empty texts have no
@@ -17,7 +19,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,20 +31,40 @@ from pyspark.sql import functions as F
 from weftgraph.llm.common import slices
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds that only the network adds; they come after the others.
+ADDED_KINDS = ("secret",)
+ALL_KINDS = KINDS + ADDED_KINDS
 #: The domain of an e-mail address and the other patterns.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_TRIGGER = re.compile(r"[0-9@]")
+_AT = r"\s{0,3}(?:@|[\[({]\s?(?:at|@)\s?[\])}]|(?<=\s)at(?=\s))\s{0,3}"
+_DOT = r"\s{0,3}(?:[\[({]\s?(?:dot|\.)\s?[\])}]|(?<=\s)dot(?=\s))\s{0,3}|\.|\s\.\s"
+_SPELLED_DOMAIN = re.compile(rf"[A-Za-z0-9-]+(?:(?:{_DOT})[A-Za-z0-9-]+)*?(?:{_DOT})[A-Za-z]{{2,24}}(?![A-Za-z0-9])(?!(?:{_DOT})[A-Za-z0-9])", re.I)
+_SPELLED_AT, _SPELLED_DOT = re.compile(_AT, re.I), re.compile(_DOT, re.I)
+_TRIGGER = re.compile(
+    r"[0-9@]+|[\[({]\s{0,3}(?:at|dot)\s{0,3}[\])}]|(?<![A-Za-z0-9])dot(?![A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])at\s{1,3}[A-Za-z0-9-]{1,64}\.[A-Za-z]", re.I)
+_SEPARATOR = re.compile(r"[^0-9]+")
+#: What a text assigns to a name that says it is secret; the labels of that kind.
+_SECRET = re.compile(r"(?:token|key|secret|password|passwd|pwd)[\"']?\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_+/=-]{16,128})", re.I)
 
 WINDOW, STRIDE, MARGIN = 64, 32, 24
-TRAIN_WINDOWS, TRAIN_STEPS, TRAIN_BATCH = 3000, 240, 64
-EMBED, HIDDEN = 12, 16
-TAGS = 1 + 2 * len(KINDS)
+TRAIN_WINDOWS, TRAIN_STEPS, TRAIN_BATCH = 8000, 600, 96
+EMBED, HIDDEN = 12, 24
+TAGS = 1 + 2 * len(ALL_KINDS)
 CHARS = 98
+#: Rewritten versions of each text with labels that the network learns from.
+VERSIONS = 4
+_WORDS = re.compile(r"[A-Za-z]{2,12}")
 BATCH_BYTES, BATCH_WINDOWS = 4 << 20, 1024
+#: Longer stretches are decoded in pieces that reach over one another; a span counts in
+#: the piece in whose own part it starts.  Pieces of so many characters are decoded at once.
+PIECE, REACH, AT_ONCE = 8192, 160, 1 << 18
+#: Most characters by which a span is widened to whole words.
+WIDEN = 64
 
 Span = tuple[int, int, int]
 
@@ -99,14 +123,14 @@ def base_spans(text: str) -> list[Span]:
 
 
 def listed(spans: list[Span]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
+    return ",".join(f"{ALL_KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
 
 # -- windows ------------------------------------------------------------------------
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Text within ``MARGIN`` of a digit or at sign, as ranges that do not touch."""
+    """Text within ``MARGIN`` of a digit, an at sign or a spelled-out one, as ranges that do not touch."""
     out: list[tuple[int, int]] = []
     for m in _TRIGGER.finditer(text):
         a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
@@ -117,6 +141,13 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def _pieces(a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
+    """Pieces of a stretch: what is decoded, and the part of it that is the piece's own."""
+    for low in range(a, b, PIECE):
+        high = min(b, low + PIECE)
+        yield max(a, low - REACH), min(b, high + REACH), low, high
+
+
 def _cuts(length: int) -> list[int]:
     """Starts of windows that cover the length, with overlap."""
     if length <= WINDOW:
@@ -326,6 +357,30 @@ def decode(model: Tagger, texts: list[str]) -> list[np.ndarray]:
     return out
 
 
+def decoded_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
+    """The network's spans of each text, by place."""
+    out: list[list[Span]] = [[] for _ in texts]
+    held: list[tuple[int, int, int, int, int]] = []
+    chars = 0
+
+    def flush() -> None:
+        for (i, a, _, low, high), tags in zip(held, decode(model, [texts[i][a:b] for i, a, b, _, _ in held])):
+            if tags.any():
+                out[i] += [x for x in _spans_of(tags, a) if low <= x[1] < high]
+        held.clear()
+
+    for i, text in enumerate(texts):
+        for stretch in stretches(text):
+            for a, b, low, high in _pieces(*stretch):
+                held.append((i, a, b, low, high))
+                chars += b - a
+                if chars >= AT_ONCE:
+                    flush()
+                    chars = 0
+    flush()
+    return out
+
+
 def _spans_of(tags: np.ndarray, start: int) -> list[Span]:
     out: list[Span] = []
     for i, tag in enumerate(tags.tolist()):
@@ -338,35 +393,145 @@ def _spans_of(tags: np.ndarray, start: int) -> list[Span]:
 
 
 def _plausible(kind: int, text: str) -> bool:
+    """Is the text, brought to the plain form of its kind, one of that kind?"""
+    if kind == 0:
+        at = _SPELLED_AT.split(text)
+        plain = "@".join([at[0], _SPELLED_DOT.sub(".", at[1])]) if len(at) == 2 else ""
+        return list(_emails(plain)) == [(0, len(plain))] and bool(plain)
+    if kind == 4:
+        whole = 16 <= len(text) <= 128 and all(c.isascii() and (c.isalnum() or c in "_+/=-") for c in text)
+        return whole and any(c.isdigit() for c in text) and any(c.isalpha() for c in text)
+    between = {x.lower() for x in _SEPARATOR.findall(text.strip("+("))}
+    if kind == 1:
+        parts = _SEPARATOR.split(text)
+        alike = len(between) == 1 and between.pop().strip(" []()") in (".", ",", "-", ":", "dot")
+        return len(parts) == 4 and alike and _is_ip(".".join(parts))
+    narrow = all(len(x) <= 3 and not any(c.isalnum() or c in "@\n" for c in x) for x in between)
+    return narrow and len(text) <= 64 and (_is_card(text) if kind == 2 else _is_phone(text))
+
+
+def _fitted(text: str, kind: int, a: int, b: int) -> Span:
+    """The decoded span with exact ends, as the kind whose test it passes; kind -1 if none.
+
+    Addresses reach as far around their at sign as one can; other spans are whole words.
+    """
+    low, high = max(0, a - WIDEN), min(len(text), b + WIDEN)
     if kind == 0:
-        return text.count("@") == 1 and 0 < text.index("@") < len(text) - 1
-    return (_is_ip, _is_card, _is_phone)[kind - 1](text)
+        for at in _SPELLED_AT.finditer(text, low, high):
+            start = at.start()
+            while start > low and text[start - 1] in _LOCAL_CHARS:
+                start -= 1
+            domain = _SPELLED_DOMAIN.match(text, at.end(), high)
+            while start < at.start() and text[start] in "._%+-":
+                start += 1
+            if start < at.start() and domain and start < b and a < domain.end():
+                return (0, start, domain.end()) if _plausible(0, text[start : domain.end()]) else (-1, a, b)
+        return -1, a, b
+    while a < b and not (text[a].isalnum() or text[a] in "+("):
+        a += 1
+    while a < b and not text[b - 1].isalnum():
+        b -= 1
+    if a < b:
+        while a > low and text[a].isalnum() and text[a - 1].isalnum():
+            a -= 1
+        while b < high and text[b].isalnum():
+            b += 1
+    for other in (4,) if kind == 4 else (1, kind, 2, 3):
+        if a < b and _plausible(other, text[a:b]):
+            return other, a, b
+    return -1, a, b
 
 
 def added_spans(text: str, found: list[Span], base: list[Span]) -> list[Span]:
-    """Decoded spans, less what surrounds them, that overlap no base span and fit their kind."""
-    out = []
+    """Decoded spans, as whole words less what surrounds them, that overlap no base span and fit their kind."""
+    out: list[Span] = []
     taken = sorted((a, b) for _, a, b in base)
+    starts = [a for a, _ in taken]
+    reached = list(accumulate((b for _, b in taken), max))
+    last = 0
     for kind, a, b in found:
-        while a < b and not (text[a].isalnum() or text[a] in "+("):
-            a += 1
-        while a < b and not text[b - 1].isalnum():
-            b -= 1
-        if a < b and _plausible(kind, text[a:b]) and not any(x < b and a < y for x, y in taken):
+        kind, a, b = _fitted(text, kind, max(a, last), b)
+        before = bisect_left(starts, b)
+        if kind >= 0 and not (before and reached[before - 1] > a):
             out.append((kind, a, b))
+            last = b
     return out
 
 
 # -- Spark --------------------------------------------------------------------------
 
 
-def _rewritten(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
-    """The text with the first phone number's plus sign away; labels follow."""
-    for n, (kind, a, _) in enumerate(spans):
-        if kind == 3 and text[a] == "+":
-            moved = [(k, x - (x > a), y - (y > a)) for k, x, y in spans]
-            return text[:a] + text[a + 1 :], moved
-    return text, spans
+def labelled_spans(text: str, base: list[Span]) -> list[Span]:
+    """The base spans, none over another, and secrets; by place."""
+    secrets = [(4, m.start(1), m.end(1)) for m in _SECRET.finditer(text) if _plausible(4, m.group(1))]
+    out: list[Span] = []
+    for kind, a, b in sorted(base + secrets, key=lambda x: (x[1], -x[2])):
+        if not out or a >= out[-1][2]:
+            out.append((kind, a, b))
+    return out
+
+
+_SPELLINGS = (
+    (" at ", " dot "), (" at ", " dot "), (" at ", " dot "), (" at ", "."), (" [at] ", " [dot] "), ("[at]", "[dot]"), ("[at]", "."),
+    (" (at) ", " (dot) "), ("(at)", "."), ("(at)", "(dot)"), (" @ ", "."), (" @ ", " . "), (" AT ", " DOT "),
+)
+_IP_SEPARATORS = (",", "-", " . ", "[.]", " dot ", ":", ", ")
+_CARD_SEPARATORS = (".", "/", "_", " - ", "  ", ". ")
+_ENDINGS = ("com", "org", "net", "de", "io", "fr", "edu", "es")
+
+
+def _other_form(kind: int, found: str, words: list[str], turn: Callable[[int], int]) -> tuple[str, int, int]:
+    """Another way to write what was found, and where in it the span is; (0, 0): a decoy without one."""
+    one = lambda options: options[turn(len(options))]
+    word = lambda: one(words) if words else "site"
+    if kind == 0:
+        if turn(10) == 0:  # prose with the words that spell addresses
+            decoy = one((f"{word()} at {word()} {word()}", f"at {word()}. {word().title()}", f"{word()} at {turn(99)}"))
+            return decoy, 0, 0
+        local, _, domain = found.partition("@")
+        parts = domain.split(".")
+        if turn(2):
+            local = one((word(), f"{word()}.{word()}", f"{word()}{turn(100)}", f"{word()[:1]}.{word()}", f"{word()}_{word()}"))
+            parts = [word(), one(_ENDINGS)]
+        at, dot = one(_SPELLINGS)
+        text = local + at + dot.join(parts)
+        return text, 0, len(text)
+    if kind == 1:
+        text = one(_IP_SEPARATORS).join(str(turn(256)) if turn(2) else x for x in found.split("."))
+        return text, 0, len(text)
+    digits = _only_digits(found)
+    if kind == 2:
+        text = one(_CARD_SEPARATORS).join(digits[i : i + 4] for i in range(0, len(digits), 4))
+        return text, 0, len(text)
+    if kind == 3:
+        sep = one((".", "-", " ", "/"))
+        tail = "".join(str(turn(10)) if turn(2) else d for d in digits[-10:]).zfill(10)
+        local = sep.join((tail[:3], tail[3:6], tail[6:]))
+        country = digits[:-10] if turn(2) and len(digits) > 10 else str(1 + turn(99))
+        text = one((found[1:], f"{country} ({tail[:3]}) {tail[3:6]}-{tail[6:]}", f"00{country} {local}", f"00{country}{sep}{local}",
+                    local, local, f"{country}{sep}{local}", f"({tail[:3]}) {tail[3:6]}-{tail[6:]}"))
+        skip = one((0, 0, 5))
+        return "tel. "[:skip] + text, skip, skip + len(text)
+    text = "".join(one(found) for _ in found)
+    return text, 0, len(text) if _plausible(4, text) else 0
+
+
+def rewritten(text: str, spans: list[Span], version: int) -> tuple[str, list[Span]]:
+    """The text with every labelled span in another form, chosen by a hash of it; labels follow."""
+    out, labels, at, length = [], [], 0, 0
+    for kind, a, b in spans:
+        found = text[a:b]
+        seed = hashlib.blake2b(f"{version} {a} {found}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        rng = np.random.default_rng(int.from_bytes(seed, "big"))
+        near = _WORDS.findall(text[max(0, a - 200) : a] + " " + text[b : b + 200])
+        form, low, high = _other_form(kind, found, near, lambda n: int(rng.integers(0, n)))
+        out += [text[at:a], form]
+        length += a - at
+        if high:
+            labels.append((kind, length + low, length + high))
+        length += len(form)
+        at = b
+    return "".join([*out, text[at:]]), labels
 
 
 def training_windows(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> DataFrame:
@@ -379,12 +544,16 @@ def training_windows(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 if not text or not _TRIGGER.search(text):
                     continue
-                spans = base_spans(text)
-                for version in ((text, spans), _rewritten(text, spans)) if any(k == 3 for k, _, _ in spans) else ((text, spans),):
-                    for a, b in stretches(version[0]):
+                spans = labelled_spans(text, base_spans(text))
+                versions = [(text, spans), *(rewritten(text, spans, n) for n in range(VERSIONS if spans else 0))]
+                for other, labels in versions:
+                    starts = [x for _, x, _ in labels]
+                    for a, b in stretches(other):
                         for s in _cuts(b - a):
-                            piece = version[0][a + s : min(b, a + s + WINDOW)]
-                            tags = _tags(len(piece), version[1], a + s).astype(np.uint8).tobytes()
+                            low, high = a + s, min(b, a + s + WINDOW)
+                            piece = other[low:high]
+                            near = labels[max(0, bisect_left(starts, low) - 1) : bisect_left(starts, high)]
+                            tags = _tags(len(piece), near, low).astype(np.uint8).tobytes()
                             codes = _codes(piece).astype(np.uint8).tobytes()
                             turn = int.from_bytes(hashlib.blake2b(codes, digest_size=7).digest(), "big")
                             out.append((0 if any(tags) or turn % 4 == 0 else 1, turn, codes, tags))
@@ -416,7 +585,7 @@ def fit(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> dict[str, np.ndarray]:
 
 
 def find_personal_data(docs: DataFrame, weights: dict[str, np.ndarray] | None = None) -> DataFrame:
-    """(doc_id, counts and digest of the base spans, all spans) of each row."""
+    """(doc_id, counts and digest of the base spans, all spans, their number) of each row."""
     weights = fit(docs) if weights is None else weights
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,19 +593,16 @@ def find_personal_data(docs: DataFrame, weights: dict[str, np.ndarray] | None =
         for batch in slices(batches, "text", BATCH_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             base = [base_spans(t) for t in texts]
-            places = [(i, a, b) for i, t in enumerate(texts) for a, b in stretches(t)]
-            more: list[list[Span]] = [[] for _ in texts]
-            for (i, a, b), tags in zip(places, decode(model, [texts[i][a:b] for i, a, b in places])):
-                if tags.any():
-                    more[i] += _spans_of(tags, a)
+            more = decoded_spans(model, texts)
             columns = [batch.column("doc_id")]
             for kind in range(len(KINDS)):
                 columns.append(pa.array([sum(s[0] == kind for s in spans) for spans in base], pa.int64()))
             columns.append(pa.array([hashlib.sha256(listed(s).encode()).hexdigest() for s in base], pa.string()))
-            full = [listed(s + added_spans(t, m, s)) for t, s, m in zip(texts, base, more)]
-            columns.append(pa.array(full, pa.string()))
-            names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"]
+            full = [s + added_spans(t, m, s) for t, s, m in zip(texts, base, more)]
+            columns.append(pa.array([listed(s) for s in full], pa.string()))
+            columns.append(pa.array([len(s) for s in full], pa.int64()))
+            names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_spans"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     counts = ", ".join(f"n_{k} bigint" for k in KINDS)
-    return docs.select("doc_id", "text").mapInArrow(per_batch, f"doc_id bigint, {counts}, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(per_batch, f"doc_id bigint, {counts}, base_sha256 string, spans string, n_spans bigint")
