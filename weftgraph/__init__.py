@@ -6,6 +6,7 @@ all row work runs as DataFrame plans on the executors.
 """
 
 from weftgraph.plans.jobs import (
+    compact_index,
     init_edge,
     init_vertex,
     load_edges,
@@ -16,6 +17,7 @@ from weftgraph.sources.store import GraphStore
 
 __all__ = [
     "GraphStore",
+    "compact_index",
     "init_edge",
     "init_vertex",
     "load_edges",

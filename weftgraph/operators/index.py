@@ -65,3 +65,23 @@ def write_postings(
         postings.sortWithinPartitions(key, "_vid").write.orc(path)
         schemas[prop] = postings.schema
     return schemas
+
+
+def write_merged_postings(store: GraphStore, index: str, load_id: str) -> dict[str, T.StructType]:
+    """Merges the runs of all loads into one, in the order of words or values.
+
+    The range key ends with the id, so that a frequent word is cut like any other stretch
+    and no task has all of it.  Bloom filters let a lookup skip the stripes whose range
+    holds a word that they do not have.
+    """
+    schemas = {}
+    for prop in store.index_properties(index):
+        postings = store.postings(index, prop)
+        if postings is None:
+            continue
+        key = postings.columns[0]
+        merged = postings.repartitionByRange(key, "_vid").sortWithinPartitions(key, "_vid")
+        writer = merged.write.option("orc.bloom.filter.columns", key).option("orc.bloom.filter.fpp", "0.01")
+        writer.orc(store.index_path(index, prop, load_id))
+        schemas[prop] = postings.schema
+    return schemas

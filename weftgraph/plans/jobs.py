@@ -30,7 +30,7 @@ from weftgraph.operators.ids import (
     scan_ids,
     segment_of,
 )
-from weftgraph.operators.index import define_index, write_postings
+from weftgraph.operators.index import define_index, write_merged_postings, write_postings
 from weftgraph.operators.registry import (
     PropertyStatus,
     register_label,
@@ -141,6 +141,30 @@ def reindex(store: GraphStore, label: str) -> None:
     store.add_to_registry("loads", [_index_load(index, load_id, store.next_seq(), schemas, True)])
 
 
+def compact_index(store: GraphStore, label: str) -> int:
+    """Merges the postings that each load of the label wrote into one sorted run.
+
+    Lookups read that run alone, and those of later loads.  No vertex is read.  Returns how
+    many runs were merged: 0 if there is one already, or none.  An index that does not cover
+    every load is built anew instead.  The merged runs stay on disk for whoever reads them.
+    The new run counts once its row is registered; a job that dies before leaves the old ones.
+    """
+    store.refresh()
+    index = store.index_name(label)
+    if not store.index_properties(index):
+        raise NotRegisteredError(f"no index {index!r}")
+    runs = store.index_runs(index)
+    if not store.index_complete(index):
+        reindex(store, label)
+        return len(runs)
+    if len(runs) < 2:
+        return 0
+    load_id = uuid.uuid4().hex
+    schemas = write_merged_postings(store, index, load_id)
+    store.add_to_registry("loads", [_index_load(index, load_id, store.next_seq(), schemas, True)])
+    return len(runs)
+
+
 def _index_load(
     index: str, load_id: str, seq: int, schemas: dict[str, T.StructType], full: bool
 ) -> tuple:

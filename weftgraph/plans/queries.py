@@ -49,6 +49,7 @@ from weftgraph.operators.resolve import (
 from weftgraph.operators.skew import hot_keys
 from weftgraph.plans.jobs import (
     commit_log,
+    compact_index,
     init_edge,
     init_vertex,
     load_edges,
@@ -928,6 +929,19 @@ def index_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.postings(store.index_name("Part"), "p_name")
 
 
+@query("compact_index", f"""
+    SELECT unnest({words_sql('text')}) AS token, _vid FROM {vid_sql('Document')}
+    UNION ALL SELECT unnest({words_sql('text')}), _vid FROM {vid_sql('Document', ('Document',))}
+    UNION ALL SELECT unnest({words_sql('text')}), _vid FROM {vid_sql('Document', ('Document', 'Document'))}""")
+def compacted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The postings of three loads, merged into one run."""
+    store = new_graph(spark)
+    for _ in range(3):
+        load_label(store, sf_dir, "Document", ("text",))
+    compact_index(store, "Document")
+    return store.postings(store.index_name("Document"), "text")
+
+
 @query("document_words", f"SELECT unnest({words_sql('text')}) AS token, _vid FROM {vid_sql('Document')}")
 def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings derived on the fly equal those of the index."""

@@ -184,17 +184,22 @@ class GraphStore:
             if r["label"] in labels
         )
 
+    def index_runs(self, index: str) -> list[Row]:
+        """The last full build or merge, and the loads since."""
+        loads = self.loads("index", index)
+        start = max((i for i, r in enumerate(loads) if r["full"]), default=0)
+        return loads[start:]
+
     def postings(self, index: str, prop: str) -> DataFrame | None:
-        """Postings of the last full build and of the loads since.
+        """Postings of the last full build or merge and of the loads since.
 
         None if the index does not cover all loads, say because its build died: the
         vertices are searched then.
         """
-        loads = self.loads("index", index)
-        if not loads or not self.index_complete(index):
+        runs = self.index_runs(index)
+        if not runs or not self.index_complete(index):
             return None
-        start = max((i for i, r in enumerate(loads) if r["full"]), default=0)
-        fields = [(r["load_id"], json.loads(r["fields"]).get(prop)) for r in loads[start:]]
+        fields = [(r["load_id"], json.loads(r["fields"]).get(prop)) for r in runs]
         written = [(load_id, schema) for load_id, schema in fields if schema]
         if not written:
             return None
