@@ -28,6 +28,8 @@ UNKNOWN = "und"
 LETTER_VECTORS = 128
 #: A block of documents whose 3-grams are counted at once.
 BLOCK_ROWS, BLOCK_BYTES = 512, 2 << 20
+#: Different 3-grams of a block whose vectors are held at once, 4 KB each.
+GRAMS_AT_ONCE = 2048
 
 
 @lru_cache(maxsize=1)
@@ -71,19 +73,33 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     joined = "\n" + "\n".join(texts) + "\n"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     ids = letter_ids()[points]
-    row = np.repeat(np.arange(len(texts)), np.array([len(t) + 1 for t in texts]))
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), np.array([len(t) + 1 for t in texts]))
     at = np.flatnonzero(ids)
-    codes = ids[at - 1].astype(np.int64) << 14 | ids[at].astype(np.int64) << 7 | ids[at + 1]
+    codes = ids[at - 1].astype(np.int32) << 14 | ids[at].astype(np.int32) << 7 | ids[at + 1]
     return row[at - 1], codes
 
 
 def bundles(rows: np.ndarray, codes: np.ndarray, count: int) -> np.ndarray:
-    """The bundled vector of each of ``count`` rows."""
-    present = np.flatnonzero(np.bincount(codes, minlength=1))
-    place = np.zeros(int(codes.max(initial=0)) + 1, np.int64)
-    place[present] = np.arange(len(present))
-    counts = np.bincount(rows * len(present) + place[codes], minlength=count * len(present))
-    return counts.reshape(count, -1).astype(np.float32) @ gram_vectors(present)
+    """The bundled vector of each of ``count`` rows.
+
+    Sums over some of the 3-grams at a time: however many different ones there are, their
+    vectors and counts take the same memory.  All sums are whole numbers, so the order of
+    adding changes none below 2^24.
+    """
+    seen = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    seen[codes] = True
+    present = np.flatnonzero(seen)
+    place = np.zeros(len(seen), np.int32)
+    place[present] = np.arange(len(present), dtype=np.int32)
+    place = place[codes]
+    out = np.zeros((count, DIMENSIONS), np.float32)
+    for first in range(0, len(present), GRAMS_AT_ONCE):
+        some = present[first : first + GRAMS_AT_ONCE]
+        here = (place >= first) & (place < first + len(some))
+        cells = rows[here].astype(np.int64) * len(some) + (place[here] - first)
+        counts = np.bincount(cells, minlength=count * len(some))
+        out += counts.reshape(count, -1).astype(np.float32) @ gram_vectors(some)
+    return out
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
