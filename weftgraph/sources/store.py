@@ -8,7 +8,7 @@
     vertices/label=L/load=I/   _vid and the property columns
     edges/label=E/load=I/      _src, _dst and the property columns
     rejects/label=E/load=I/    edge rows left out, and why
-    index/<name>/property=P/load=I/   postings (token|value, _vid)
+    index/<name>/property=P/load=I/   postings (token|value, _vid) or (token, _vids)
 
 A load becomes visible when its row is added to ``registry/loads``, which is
 the last thing a job does: data of a job that died is never read.  The row
@@ -19,10 +19,11 @@ file footers to merge schemas.  One writer at a time is assumed.
 from __future__ import annotations
 
 import json
+from functools import reduce
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -196,12 +197,29 @@ class GraphStore:
         None if the index does not cover all loads, say because its build died: the
         vertices are searched then.
         """
+        return self._posting_runs(index, prop, F.explode("_vids").alias("_vid"), F.col("_vid"))
+
+    def posting_blocks(self, index: str, prop: str) -> DataFrame | None:
+        """:meth:`postings` of words as (token, _vids); single postings are blocks of one."""
+        return self._posting_runs(index, prop, F.col("_vids"), F.array("_vid").alias("_vids"))
+
+    def _posting_runs(self, index: str, prop: str, of_blocks: Column, of_rows: Column) -> DataFrame | None:
+        """The runs that are read, those in blocks and those in rows each as one scan."""
         runs = self.index_runs(index)
         if not runs or not self.index_complete(index):
             return None
-        fields = [(r["load_id"], json.loads(r["fields"]).get(prop)) for r in runs]
-        written = [(load_id, schema) for load_id, schema in fields if schema]
-        if not written:
-            return None
-        paths = [self.index_path(index, prop, load_id) for load_id, _ in written]
-        return self.spark.read.schema(T.StructType.fromJson(written[0][1])).orc(paths)
+        paths: dict[bool, list[str]] = {}
+        schemas: dict[bool, T.StructType] = {}
+        for run in runs:
+            fields = json.loads(run["fields"]).get(prop)
+            if fields:
+                schema = T.StructType.fromJson(fields)
+                blocks = "_vids" in schema.names
+                schemas.setdefault(blocks, schema)
+                paths.setdefault(blocks, []).append(self.index_path(index, prop, run["load_id"]))
+        found = [
+            self.spark.read.schema(schemas[blocks]).orc(paths[blocks])
+            .select(schemas[blocks].names[0], of_blocks if blocks else of_rows)
+            for blocks in paths
+        ]
+        return reduce(DataFrame.unionByName, found) if found else None
