@@ -1,0 +1,68 @@
+"""Postings of words in blocks: the same postings, in order, from far fewer sorted rows."""
+
+from __future__ import annotations
+
+import random
+
+from weftgraph import compact_index, init_vertex, load_vertices
+from weftgraph.operators import index
+from weftgraph.operators.index import token_blocks, token_postings
+
+TEXTS = [None, "", "--", "a b a", "B c", "ünï 漢字 a", "c c c", "a", None, "x y z a"]
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def _vertices(spark, ids):
+    return spark.createDataFrame([(i, TEXTS[i % len(TEXTS)]) for i in ids], "_vid bigint, t string")
+
+
+def _taken_apart(blocks):
+    return sorted((r["token"], v) for r in blocks.collect() for v in r["_vids"])
+
+
+def test_blocks_hold_each_posting_once(spark, monkeypatch):
+    scattered = random.Random(3).sample(range(1000), 200)
+    for ids in (range(300), [*range(50, 100), *range(50)], scattered, []):
+        vertices = _vertices(spark, ids).coalesce(1)
+        expected = _rows(token_postings(vertices, "t"))
+        assert _taken_apart(token_blocks(vertices, "t")) == expected
+        with monkeypatch.context() as small:
+            small.setattr(index, "WORDS_AT_ONCE", 7)
+            small.setattr(index, "BLOCK_IDS", 3)
+            small.setattr(index, "BLOCKS_AT_ONCE", 2)
+            blocks = token_blocks(vertices, "t")
+            assert _taken_apart(blocks) == expected
+            assert all(len(r["_vids"]) <= 3 for r in blocks.collect())
+
+
+def test_blocks_of_a_word_do_not_overlap(spark):
+    """Not even where a task reads the later stretch of ids first, or ids with gaps."""
+    ids = [*range(50, 100), *range(50), *range(200, 300, 3)]
+    blocks = token_blocks(_vertices(spark, ids).coalesce(1), "t").collect()
+    for token in {r["token"] for r in blocks}:
+        of_token = [v for _, vids in sorted((r["_vids"][0], r["_vids"]) for r in blocks if r["token"] == token) for v in vids]
+        assert of_token == sorted(of_token)
+
+
+def test_a_load_writes_a_row_for_each_block_and_reads_postings(spark, store, work):
+    df = spark.createDataFrame([(i, f"common w{i % 10}") for i in range(400)], "k bigint, name string").coalesce(1)
+    init_vertex(store, "P", df, ["name"])
+    for _ in range(2):
+        load_vertices(store, "P", df, "k", f"{work}/map")
+    run = store.postings(store.index_name("P"), "name")
+    expected = _rows(token_postings(store.vertices("P"), "name"))
+    assert _rows(run) == expected and len(expected) == 1600
+    stored = [spark.read.orc(f) for f in run.inputFiles()]
+    assert sum(f.count() for f in stored) < 100
+    for f in stored:
+        postings = [(r["token"], v) for r in f.collect() for v in r["_vids"]]
+        assert postings == sorted(postings)
+    plan = run.where("token in ('w1', 'w2')")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(token" in plan.replace("IsNotNull(token), ", "")
+
+    assert compact_index(store, "P") == 2
+    load_vertices(store, "P", df, "k", f"{work}/map")
+    assert _rows(store.postings(store.index_name("P"), "name")) == _rows(token_postings(store.vertices("P"), "name"))
