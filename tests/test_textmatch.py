@@ -124,3 +124,51 @@ def test_too_many_words_to_send_around(spark, work, monkeypatch):
     keys = sorted({" ".join(["the", *rng.sample(vocabulary, rng.randint(0, 3)), *rng.choice([[], ["absent"]])]) for _ in range(80)})
     monkeypatch.setattr(textmatch, "only_wanted", lambda *args: None)
     assert _ours(spark, keys, texts, work) == _brute_force(keys, texts)
+
+
+def test_sets_meet_blocks_of_vertices_and_not_vertices(spark, work, monkeypatch):
+    """All words are in many texts and no text has all of a set: no row is moved for a set and a vertex."""
+    from weftgraph.operators import textmatch
+
+    texts = [(i, f"a{i % 8} b{i // 8 % 8} {'c' if i % 8 != i // 8 % 8 else 'd'}") for i in range(1600)]
+    keys = [f"a{i} b{i} c" for i in range(8)] + ["a1 b2 c"]
+    met = []
+    real = textmatch._with_rarest
+
+    def pairs(sets, others):
+        found = real(sets, others)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(textmatch, "_with_rarest", pairs)
+    assert _ours(spark, keys, texts, work) == {"a1 b2 c": 17}
+    assert sum(met) <= len(keys)  # 1,800 pairs of a set and a vertex with its rarest word
+
+
+@pytest.mark.parametrize("ids", ["near", "scattered", "segments"])
+def test_blocks_of_any_ids(spark, tmp_path, monkeypatch, ids):
+    """Blocks of eight ids, stretches that reach over several, few places at once, and several ranges."""
+    from weftgraph.operators import textmatch
+    from weftgraph.operators.index import token_blocks
+
+    rng = random.Random(8)
+    vids = {
+        "near": list(range(5, 205)),
+        "scattered": sorted(rng.sample(range(5000), 200)),
+        "segments": [*range(1 << 33, (1 << 33) + 100), *range(5 << 33, (5 << 33) + 100)],
+    }[ids]
+    vocabulary = [f"w{i}" for i in range(10)]
+    texts = [(v, " ".join(["the", *rng.sample(vocabulary, rng.randint(0, 5))])) for v in vids] + [(4, None)]
+    keys = sorted({" ".join(rng.sample([*vocabulary, "the"], rng.randint(1, 5))) for _ in range(90)})
+    expected = _brute_force(keys, texts)
+    assert 20 < len(expected) < len(keys)
+    monkeypatch.setattr(textmatch, "BLOCK_BITS", 3)
+    monkeypatch.setattr(textmatch, "PLACES_AT_ONCE", 5)
+    monkeypatch.setattr(textmatch, "GROWTH", 2)
+    vertices = spark.createDataFrame(texts, "_vid bigint, t string").coalesce(2)
+    frame = spark.createDataFrame([(k,) for k in keys], "key string")
+    for name, postings in (("blocks", token_blocks(vertices, "t")), ("single", token_postings(vertices, "t"))):
+        found = first_text_match(frame, postings, str(tmp_path / name))
+        assert {r["key"]: r["vid"] for r in found.collect()} == expected
+        monkeypatch.setattr(textmatch, "only_wanted", lambda *args: None)
+    assert (tmp_path / "blocks" / "found-1").exists()  # more than two ranges

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from weftgraph.functions.types import column, property_type
 from weftgraph.operators.ids import ROW_BITS
-from weftgraph.operators.index import token_postings, value_postings
+from weftgraph.operators.index import token_blocks, value_postings
 from weftgraph.operators.pruning import only_wanted
 from weftgraph.operators.skew import hot_keys_of, salted_join
 from weftgraph.operators.textmatch import first_text_match
@@ -95,13 +95,14 @@ def label_fallback(
         index = store.index_name(label)
         by_words = isinstance(keys.schema["key"].dataType, T.StringType)
         indexed = use_index and prop in store.index_properties(index)
-        postings = store.postings(index, prop) if indexed else None
+        stored = store.posting_blocks if by_words else store.postings
+        postings = stored(index, prop) if indexed else None
         if postings is None:
             vertices = store.vertices(label)
             if vertices is None or prop not in vertices.columns:
                 return None
             if by_words:
-                postings = token_postings(vertices, prop)
+                postings = token_blocks(vertices, prop)
             else:
                 postings = value_postings(vertices, prop)
         if by_words:
