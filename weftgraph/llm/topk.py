@@ -8,6 +8,9 @@ bound on what is still to come.  It stops when the k-th best lower bound is abov
 any other vector can still reach; all vectors that can be among the k (ties included)
 are then scored exactly.  Each block gives its k best, and k of these are the answer.
 
+Vectors and queries meet in the cells of a grid: a cell gets some blocks of vectors and
+some of the queries, both in bounded numbers, so no machine holds all of either.
+
 Vectors that are null or hold null, NaN or infinite components take no part, neither
 do empty ones.  A shorter vector counts as padded with zeros.  Rows with the query's
 own vec_id are never its candidates; a repeated vec_id can take several ranks.
@@ -23,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftgraph.llm.common import stage
-
 SCALE = 256
 BLOCK_VECTORS = 8192
-BLOCK_QUERIES = 2048
+#: Queries of a cell at least, and at most; blocks of vectors of a cell at most.
+CELL_QUERIES, MOST_QUERIES, MOST_BLOCKS = 512, 1 << 16, 32
+#: Cells that are enough to keep all cores busy; more of them move more bytes.
+CELLS = 128
 #: Width of a quantised impact, in units of 1 / SCALE.
 IMPACT = 16
 #: Segments taken between two tests for the end.
@@ -120,47 +124,90 @@ class Block:
         return rows[first], scores[first]
 
 
-def _blocks(vectors: DataFrame, size: int, name: str) -> DataFrame:
-    """Vectors dealt into blocks: one row (block, ids, values) for each."""
-    count = vectors.count()
-    blocks = max(1, -(-count // size))
-    dealt = vectors.withColumn("_block", F.pmod(F.xxhash64("vec_id", "_vector"), F.lit(blocks)))
-    packed = dealt.groupBy("_block").agg(F.collect_list(F.struct("vec_id", "_vector")).alias("_rows"))
-    return stage(packed, name)
+def _grid(vectors: int, queries: int) -> tuple[int, int]:
+    """Into how many parts so many vectors and queries are dealt; cells grow before their number does."""
+    blocks, groups = max(1, -(-vectors // BLOCK_VECTORS)), max(1, -(-queries // CELL_QUERIES))
+    groups = -(-groups // max(1, min(MOST_QUERIES // CELL_QUERIES, blocks * groups // CELLS)))
+    return -(-blocks // max(1, min(MOST_BLOCKS, blocks * groups // CELLS))), groups
+
+
+_PACK_DDL = "part bigint, ids binary, width int, bytes int, numbers binary"
+
+
+def _dealt(vectors: DataFrame, parts: int) -> DataFrame:
+    """Vectors dealt into parts; one row for each part of a batch, its numbers in as few bytes as they need."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part, ids = batch.column("_part").to_numpy(), batch.column("vec_id").to_numpy().astype(np.int64)
+            values = _matrix(batch.column("_vector"))
+            kinds = (np.int8, np.int16, np.int32, np.int64)
+            values = values.astype(next(x for x in kinds if values.min() >= np.iinfo(x).min and values.max() <= np.iinfo(x).max))
+            order = np.argsort(part, kind="stable")
+            cuts = np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array([part[x[0]] for x in cuts], pa.int64()), "ids": pa.array([ids[x].tobytes() for x in cuts], pa.binary()),
+                "width": pa.array([values.shape[1]] * len(cuts), pa.int32()), "bytes": pa.array([values.itemsize] * len(cuts), pa.int32()),
+                "numbers": pa.array([values[x].tobytes() for x in cuts], pa.binary())})
+
+    part = F.pmod(F.xxhash64("vec_id", "_vector"), F.lit(parts))
+    return vectors.select("vec_id", "_vector", part.alias("_part")).mapInArrow(pack, _PACK_DDL)
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors, padded with zeros, in the widest of their types."""
+    rows = [table.column(c).to_pylist() for c in ("width", "bytes")]
+    ids, numbers = ([x.as_buffer() for x in table.column(c)] for c in ("ids", "numbers"))
+    ids = [np.frombuffer(x, np.int64) for x in ids]
+    lengths = np.array([len(x) for x in ids], np.int64)
+    out = np.zeros((int(lengths.sum()), max(rows[0], default=0)), f"i{max(rows[1], default=8)}")
+    for end, count, width, size, x in zip(np.cumsum(lengths), lengths, *rows, numbers):
+        out[end - count : end, :width] = np.frombuffer(x, f"i{size}").reshape(count, width)
+    return np.concatenate([np.zeros(0, np.int64), *ids]), out
+
+
+def _best_of_cell(vectors: pa.Table, queries: pa.Table, k: int) -> pa.Table:
+    """The k best of the vectors for each of the queries; one block of vectors is indexed at a time."""
+    (ids, values), (asked, wanted) = _unpacked(vectors), _unpacked(queries)
+    query, vec_id, score = [np.zeros(0, np.int64)] * 3
+    for rows in np.array_split(np.arange(len(ids)), max(1, round(len(ids) / BLOCK_VECTORS))):
+        if not len(rows) or not len(asked):
+            continue
+        block = Block(ids[rows], values[rows].astype(np.int64))
+        found = [block.best(own, wanted[q].astype(np.int64), k) for q, own in enumerate(asked)]
+        query = np.concatenate([query, np.repeat(np.arange(len(asked)), [len(r) for r, _ in found])])
+        vec_id = np.concatenate([vec_id, *(block.ids[r] for r, _ in found)])
+        score = np.concatenate([score, *(s for _, s in found)])
+        order = np.lexsort((vec_id, -score, query))
+        order = order[np.arange(len(order)) - np.searchsorted(query[order], query[order]) < k]
+        query, vec_id, score = query[order], vec_id[order], score[order]
+    return pa.table({"query_id": pa.array(asked[query], pa.int64()), "vec_id": pa.array(vec_id, pa.int64()), "score": pa.array(score, pa.int64())})
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of ``vectors`` for each query.
 
-    Every block of queries meets every block of vectors once.  A block of vectors goes
-    to one task, which builds its postings once and then takes the queries in turn.
+    Every part of the queries meets every part of the vectors in one cell.  Both are
+    shuffled to it and neither is broadcast: the queries once for each part of the
+    vectors would not fit the driver.
     """
     clean = lambda df: df.select("vec_id", whole_numbers(F.col("embedding")).alias("_vector")).where("_vector is not null")
-    index = _blocks(clean(vectors), BLOCK_VECTORS, "topk-index")
-    asked = _blocks(clean(queries), BLOCK_QUERIES, "topk-queries")
-    blocks = index.agg(F.max("_block")).first()[0]
-    meets = asked.select(F.col("_rows").alias("_asked"), F.explode(F.sequence(F.lit(0), F.lit(blocks or 0))).alias("_block"))
-    pairs = index.repartition(max(1, (blocks or 0) + 1), "_block").join(meets, "_block")
-
-    def per_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, block = None, None
-        for batch in batches:
-            number = batch.column("_block").to_pylist()
-            for i in range(batch.num_rows):
-                if number[i] != last:
-                    rows = batch.column("_rows").slice(i, 1).flatten()
-                    block = Block(rows.field("vec_id").to_numpy(), _matrix(rows.field("_vector")))
-                    last = number[i]
-                rows = batch.column("_asked").slice(i, 1).flatten()
-                ids, values = rows.field("vec_id").to_numpy(), _matrix(rows.field("_vector"))
-                found = [block.best(own, values[q], k) for q, own in enumerate(ids)]
-                yield pa.RecordBatch.from_pydict({
-                    "query_id": pa.array(np.repeat(ids, [len(r) for r, _ in found]), pa.int64()),
-                    "vec_id": pa.array(np.concatenate([block.ids[r] for r, _ in found]), pa.int64()),
-                    "score": pa.array(np.concatenate([s for _, s in found]), pa.int64()),
-                })
-
-    best = pairs.select("_block", "_rows", "_asked").mapInArrow(per_pair, "query_id bigint, vec_id bigint, score bigint")
+    index, asked = clean(vectors), clean(queries)
+    blocks, groups = _grid(index.count(), asked.count())
+
+    def celled(packs: DataFrame, others: int, cell: Column) -> DataFrame:
+        sent = packs.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(others - 1)))).withColumn("cell", cell)
+        return sent.drop("part", "other").repartition(blocks * groups, "cell").groupBy("cell")
+
+    left = celled(_dealt(index, blocks), groups, F.col("part") * groups + F.col("other"))
+    right = celled(_dealt(asked, groups), blocks, F.col("other") * groups + F.col("part"))
+
+    def per_cell(one: pa.Table, two: pa.Table) -> pa.Table:
+        return _best_of_cell(one, two, k)
+
+    best = left.cogroup(right).applyInArrow(per_cell, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
